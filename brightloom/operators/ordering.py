@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 # 16 x 16 ranges: a row finds its range with at most 31 comparisons.
 _SIDE = 16
 _RANGES = _SIDE * _SIDE
+_SHARES = "array(" + ", ".join(f"{k / _RANGES!r}D" for k in range(1, _RANGES)) + ")"
 
 
 def _with_range(df: DataFrame, order: str, counted: str | None = None) -> DataFrame:
@@ -28,7 +29,7 @@ def _with_range(df: DataFrame, order: str, counted: str | None = None) -> DataFr
     `counted` names a positive count column of an aggregated frame. Reading it in
     the bounds keeps the column there, so both branches share the aggregation.
     """
-    shares = F.array(*[F.lit(k / _RANGES) for k in range(1, _RANGES)])
+    shares = F.expr(_SHARES)
     value = F.col(order).cast("double")
     sampled = F.when(F.col(counted) > 0, value) if counted else value
     bounds = df.agg(F.percentile_approx(sampled, shares, 10000)).scalar()
