@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from brightloom.functions import jsonx, maths, text
+from brightloom.functions.binding import let
 
 # The eight criteria, scoring patterns and texts.
 CRITERIA = (
@@ -49,12 +50,15 @@ def _check(requirement: Column, passed: Column, detail: Column) -> Column:
 
 
 def _contains_checks(response: Column, column: str, kind: str, noun: str) -> Column:
-    def one(wanted: Column) -> Column:
-        passed = text.contains_case_insensitive(response, wanted)
-        detail = F.when(passed, f"{noun} found.").otherwise(f"{noun} not found.")
-        return _check(F.concat(F.lit(f"Contains {kind}: "), wanted), passed, detail)
-
-    return F.transform(_listed(column), one)
+    def one(wanted: Column, lowered: Column) -> Column:
+        detail = lambda passed: F.when(passed, f"{noun} found.").otherwise(f"{noun} not found.")
+        name = F.concat(F.lit(f"Contains {kind}: "), wanted)
+        return let(F.contains(lowered, F.lower(wanted)), lambda passed: _check(name, passed, detail(passed)))
+
+    return let(
+        F.lower(text.blank_if_null(response)),
+        lambda lowered: F.transform(_listed(column), lambda wanted: one(wanted, lowered)),
+    )
 
 
 def _observed(count: Column, noun: str) -> Column:
@@ -74,6 +78,7 @@ def requirement_checks(response: Column) -> Column:
     verdict = jsonx.validate_json_schema(
         jsonx.parse_json_object(response), schema["required"], schema["properties"]
     )
+    matches = F.lit("Matches requested JSON schema")
     return F.concat(
         _contains_checks(response, "expected_keywords", "keyword", "Keyword"),
         _contains_checks(response, "required_phrases", "phrase", "Phrase"),
@@ -95,7 +100,7 @@ def requirement_checks(response: Column) -> Column:
         ),
         _optional(
             schema.isNotNull(),
-            _check(F.lit("Matches requested JSON schema"), verdict["passed"], verdict["detail"]),
+            let(verdict, lambda v: _check(matches, v["passed"], v["detail"])),
         ),
     )
 

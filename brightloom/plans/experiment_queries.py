@@ -139,7 +139,7 @@ def requirements(spark: SparkSession, sf_dir: str) -> DataFrame:
 def rubric_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = rubric.rule_score(views.response_rows(spark, sf_dir), WEIGHTS)
     return scored.select(
-        "seq", "success", *[F.round(F.col(f"score.{c}"), 5).alias(c) for c in (*rubric.CRITERIA, "overall")]
+        "seq", "success", *[F.round(F.col(f"score.{c}"), 9).alias(c) for c in (*rubric.CRITERIA, "overall")]
     )
 
 
@@ -159,7 +159,7 @@ def judged_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     final = experiments.prefer_judge(scored, judged, ["run_number"])
     return final.select(
-        "seq", F.round("score.overall", 5).alias("overall"), F.col("score.evaluator_mode").alias("mode"),
+        "seq", F.round("score.overall", 9).alias("overall"), F.col("score.evaluator_mode").alias("mode"),
         F.right(F.col("score.reason"), F.lit(12)).alias("reason_end"),
     )
 
@@ -195,7 +195,7 @@ def prompt_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
         "average_response_words",
     ]
     return ranked.select(
-        "experiment_id", "prompt_id", *[F.round(c, 5).alias(c) for c in numbers], "successful_runs", F.col("rank").cast("long")
+        "experiment_id", "prompt_id", *[F.round(c, 9).alias(c) for c in numbers], "successful_runs", F.col("rank").cast("long")
     )
 
 
@@ -203,21 +203,21 @@ def experiment_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = evaluation.overall_summary(_scored(spark, sf_dir), BY)
     numbers = ["average_score", "average_latency", "average_response_words", "score_std_dev"]
     return found.select(
-        "experiment_id", "total_requests", "successful_requests", "failed_requests", *[F.round(c, 5).alias(c) for c in numbers]
+        "experiment_id", "total_requests", "successful_requests", "failed_requests", *[F.round(c, 9).alias(c) for c in numbers]
     )
 
 
 def score_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = [c[0] for c in views.CASES]
     matrix = evaluation.score_matrix(_scored(spark, sf_dir), names, BY)
-    return matrix.select("experiment_id", "prompt_id", *[F.round(F.col(f"`{c}`"), 5).alias(c) for c in names])
+    return matrix.select("experiment_id", "prompt_id", *[F.round(F.col(f"`{c}`"), 9).alias(c) for c in names])
 
 
 def ab_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
     compared = evaluation.ab_compare(_scored(spark, sf_dir), "prompt-0", "prompt-1", BY)
     numbers = [f"average_{w}_{s}" for w in ("score", "latency") for s in "ab"]
     return compared.select(
-        "experiment_id", *[F.round(c, 5).alias(c) for c in numbers], "winner", "statistically_significant"
+        "experiment_id", *[F.round(c, 9).alias(c) for c in numbers], "winner", "statistically_significant"
     )
 
 
@@ -227,7 +227,7 @@ def group_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_type", F.when(F.col("value") < 5, "n/a").otherwise(F.col("value").cast("string")).alias("value")
     )
     found = evaluation.compare_groups(events, "value", F.col("event_type") == "purchase", F.col("event_type") == "click")
-    return found.select(*[F.round(c, 5).alias(c) for c in ("left_mean", "right_mean", "difference")], "winner")
+    return found.select(*[F.round(c, 9).alias(c) for c in ("left_mean", "right_mean", "difference")], "winner")
 
 
 def cost_total(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -235,7 +235,7 @@ def cost_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = experiments.finish_records(views.responses(spark, sf_dir), CONFIG)
     costs = evaluation.cost_total(records, ["experiment_id", "test_case_id", "prompt_id"])
     return costs.select(
-        "experiment_id", "test_case_id", "prompt_id", F.round("estimated_total_cost", 5).alias("estimated_total_cost"), "available"
+        "experiment_id", "test_case_id", "prompt_id", F.round("estimated_total_cost", 9).alias("estimated_total_cost"), "available"
     )
 
 
@@ -248,7 +248,7 @@ def blind_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def words_by_prompt(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = experiments.finish_records(views.responses(spark, sf_dir), CONFIG)
-    return evaluation.words_by_prompt(records, BY).withColumn("words", F.round("words", 5))
+    return evaluation.words_by_prompt(records, BY).withColumn("words", F.round("words", 9))
 
 
 def number_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -257,7 +257,7 @@ def number_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     stats = evaluation.number_stats(events, "value", ["event_type"])
     numbers = ["mean", "median", "minimum", "maximum", "std_dev", "range"]
-    return stats.select("event_type", "count", *[F.round(c, 5).alias(c) for c in numbers])
+    return stats.select("event_type", "count", *[F.round(c, 9).alias(c) for c in numbers])
 
 
 def score_boxplot(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -265,7 +265,7 @@ def score_boxplot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     scores = _scored(spark, sf_dir).select("prompt_id", F.col("score.overall").alias("overall")).filter(F.col("overall").isNotNull())
     box = boxplot(scores, "overall", "prompt_id")
-    return box.select("prompt_id", *[F.round(c, 5).alias(c) for c in ("q1", "median", "q3")])
+    return box.select("prompt_id", *[F.round(c, 9).alias(c) for c in ("q1", "median", "q3")])
 
 
 def weight_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -482,13 +482,13 @@ PLANS = {
     ),
     "rubric_scores": (
         rubric_scores,
-        with_ctes(_CHECKS, "SELECT seq, success, " + ", ".join(f"round({c}, 5) AS {c}" for c in _CRITERIA) + " FROM scored"),
+        with_ctes(_CHECKS, "SELECT seq, success, " + ", ".join(f"round({c}, 9) AS {c}" for c in _CRITERIA) + " FROM scored"),
     ),
     "judged_scores": (
         judged_scores,
         with_ctes(
             _CHECKS + ", j AS (SELECT seq, run_number, quality, toxic FROM responses LEFT JOIN labels ON doc_id = run_number)",
-            """SELECT seq, CASE WHEN success AND quality = 1 THEN CAST(8 - 4 * toxic AS DOUBLE) ELSE round(overall, 5) END AS overall,
+            """SELECT seq, CASE WHEN success AND quality = 1 THEN CAST(8 - 4 * toxic AS DOUBLE) ELSE round(overall, 9) END AS overall,
               CASE WHEN success THEN CASE WHEN quality = 1 THEN 'model-based' ELSE 'rule-based' END END AS mode,
               CASE WHEN success THEN CASE quality WHEN 1 THEN 'labelled' WHEN 0 THEN right(': no verdict', 12)
                                           ELSE right('This is not a factuality guarantee.', 12) END END AS reason_end
@@ -535,9 +535,9 @@ PLANS = {
         g AS (SELECT experiment_id, prompt_id, avg(overall) AS a, median(overall) AS m, min(overall) AS lo, max(overall) AS hi,
                      coalesce(stddev_samp(overall), 0) AS sd, avg(latency_seconds) AS lat, avg(words) AS w, count(*) AS n, min(seq) AS first
               FROM scored WHERE success GROUP BY 1, 2)""",
-            """SELECT experiment_id, prompt_id, round(a, 5) AS average_score, round(m, 5) AS median_score, round(lo, 5) AS minimum_score,
-              round(hi, 5) AS maximum_score, round(sd, 5) AS score_std_dev, round(lat, 5) AS average_latency,
-              round(w, 5) AS average_response_words, n AS successful_runs,
+            """SELECT experiment_id, prompt_id, round(a, 9) AS average_score, round(m, 9) AS median_score, round(lo, 9) AS minimum_score,
+              round(hi, 9) AS maximum_score, round(sd, 9) AS score_std_dev, round(lat, 9) AS average_latency,
+              round(w, 9) AS average_response_words, n AS successful_runs,
               row_number() OVER (PARTITION BY experiment_id ORDER BY a DESC, sd, first) AS rank FROM g""",
         ),
     ),
@@ -546,10 +546,10 @@ PLANS = {
         with_ctes(
             _CHECKS,
             """SELECT experiment_id, count(*) AS total_requests, count_if(success) AS successful_requests,
-              count_if(NOT success) AS failed_requests, coalesce(round(avg(overall), 5), 0) AS average_score,
-              coalesce(round(avg(latency_seconds) FILTER (success), 5), 0) AS average_latency,
-              coalesce(round(avg(words) FILTER (success), 5), 0) AS average_response_words,
-              coalesce(round(stddev_samp(overall), 5), 0) AS score_std_dev
+              count_if(NOT success) AS failed_requests, coalesce(round(avg(overall), 9), 0) AS average_score,
+              coalesce(round(avg(latency_seconds) FILTER (success), 9), 0) AS average_latency,
+              coalesce(round(avg(words) FILTER (success), 9), 0) AS average_response_words,
+              coalesce(round(stddev_samp(overall), 9), 0) AS score_std_dev
             FROM scored GROUP BY experiment_id""",
         ),
     ),
@@ -558,9 +558,9 @@ PLANS = {
         with_ctes(
             _CHECKS + """, cells AS (SELECT experiment_id, prompt_id, test_case_id, arg_max(overall, seq) AS overall
               FROM scored WHERE success GROUP BY 1, 2, 3)""",
-            """SELECT experiment_id, prompt_id, round(max(overall) FILTER (test_case_id = 'case-0'), 5) AS "case-0",
-              round(max(overall) FILTER (test_case_id = 'case-1'), 5) AS "case-1",
-              round(max(overall) FILTER (test_case_id = 'case-2'), 5) AS "case-2"
+            """SELECT experiment_id, prompt_id, round(max(overall) FILTER (test_case_id = 'case-0'), 9) AS "case-0",
+              round(max(overall) FILTER (test_case_id = 'case-1'), 9) AS "case-1",
+              round(max(overall) FILTER (test_case_id = 'case-2'), 9) AS "case-2"
             FROM cells GROUP BY 1, 2""",
         ),
     ),
@@ -573,8 +573,8 @@ PLANS = {
                 coalesce(avg(overall) FILTER (success AND prompt_id = 'prompt-1'), 0) AS sb,
                 coalesce(avg(latency_seconds) FILTER (success AND prompt_id = 'prompt-0'), 0) AS la,
                 coalesce(avg(latency_seconds) FILTER (success AND prompt_id = 'prompt-1'), 0) AS lb FROM scored GROUP BY 1)""",
-            """SELECT experiment_id, round(sa, 5) AS average_score_a, round(sb, 5) AS average_score_b, round(la, 5) AS average_latency_a,
-              round(lb, 5) AS average_latency_b, CASE WHEN sa > sb THEN 'prompt-0' WHEN sb > sa THEN 'prompt-1' ELSE 'Tie' END AS winner,
+            """SELECT experiment_id, round(sa, 9) AS average_score_a, round(sb, 9) AS average_score_b, round(la, 9) AS average_latency_a,
+              round(lb, 9) AS average_latency_b, CASE WHEN sa > sb THEN 'prompt-0' WHEN sb > sa THEN 'prompt-1' ELSE 'Tie' END AS winner,
               false AS statistically_significant FROM m""",
         ),
     ),
@@ -583,7 +583,7 @@ PLANS = {
         """
         WITH m AS (SELECT avg(CASE WHEN value < 5 THEN 0 ELSE value END) FILTER (event_type = 'purchase') AS l,
                           avg(CASE WHEN value < 5 THEN 0 ELSE value END) FILTER (event_type = 'click') AS r FROM events)
-        SELECT round(l, 5) AS left_mean, round(r, 5) AS right_mean, round(l - r, 5) AS difference,
+        SELECT round(l, 9) AS left_mean, round(r, 9) AS right_mean, round(l - r, 9) AS difference,
           CASE WHEN l > r THEN 'left' WHEN r > l THEN 'right' ELSE 'tie' END AS winner FROM m""",
     ),
     "cost_total": (
@@ -591,7 +591,7 @@ PLANS = {
         with_ctes(
             _RESPONSES,
             """SELECT experiment_id, test_case_id, prompt_id,
-              CASE WHEN count(cost) = count_if(success) THEN round(coalesce(sum(cost), 0), 5) END::DOUBLE AS estimated_total_cost,
+              CASE WHEN count(cost) = count_if(success) THEN round(coalesce(sum(cost), 0), 9) END::DOUBLE AS estimated_total_cost,
               count(cost) = count_if(success) AS available
             FROM records GROUP BY 1, 2, 3""",
         ),
@@ -606,22 +606,22 @@ PLANS = {
     ),
     "words_by_prompt": (
         words_by_prompt,
-        with_ctes(_RESPONSES, "SELECT experiment_id, prompt_id, round(avg(words), 5) AS words FROM records WHERE success GROUP BY 1, 2"),
+        with_ctes(_RESPONSES, "SELECT experiment_id, prompt_id, round(avg(words), 9) AS words FROM records WHERE success GROUP BY 1, 2"),
     ),
     "number_stats": (
         number_stats,
         """
         WITH v AS (SELECT event_type, CASE WHEN value < 5 THEN 0 ELSE value END AS x FROM events)
-        SELECT event_type, count(*) AS count, round(avg(x), 5) AS mean, round(median(x), 5) AS median, round(min(x), 5) AS minimum,
-          round(max(x), 5) AS maximum, round(stddev_samp(x), 5) AS std_dev, round(max(x) - min(x), 5) AS range
+        SELECT event_type, count(*) AS count, round(avg(x), 9) AS mean, round(median(x), 9) AS median, round(min(x), 9) AS minimum,
+          round(max(x), 9) AS maximum, round(stddev_samp(x), 9) AS std_dev, round(max(x) - min(x), 9) AS range
         FROM v GROUP BY event_type""",
     ),
     "score_boxplot": (
         score_boxplot,
         with_ctes(
             _CHECKS,
-            """SELECT prompt_id, round(quantile_cont(overall, 0.25), 5) AS q1, round(quantile_cont(overall, 0.5), 5) AS median,
-              round(quantile_cont(overall, 0.75), 5) AS q3 FROM scored WHERE overall IS NOT NULL GROUP BY prompt_id""",
+            """SELECT prompt_id, round(quantile_cont(overall, 0.25), 9) AS q1, round(quantile_cont(overall, 0.5), 9) AS median,
+              round(quantile_cont(overall, 0.75), 9) AS q3 FROM scored WHERE overall IS NOT NULL GROUP BY prompt_id""",
         ),
     ),
     "weight_shares": (

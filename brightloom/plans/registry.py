@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("customer_queries", "quality_queries", "function_queries", "catalogue_queries", "experiment_queries")
+MODULES = (
+    "customer_queries", "quality_queries", "function_queries", "catalogue_queries", "experiment_queries", "model_queries",
+)
 
 PLANS = {}
 for _module in MODULES:
