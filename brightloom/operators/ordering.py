@@ -32,16 +32,20 @@ def _with_range(df: DataFrame, order: str, counted: str | None = None) -> DataFr
     shares = F.expr(_SHARES)
     value = F.col(order).cast("double")
     sampled = F.when(F.col(counted) > 0, value) if counted else value
-    bounds = df.agg(F.percentile_approx(sampled, shares, 10000)).scalar()
+    every_side = F.expr(f"transform(sequence(1, {_SIDE - 1}), k -> get(fine, k * {_SIDE} - 1))")
+    bounds = (
+        df.agg(F.percentile_approx(sampled, shares, 10000).alias("fine"))
+        .select(F.struct("fine", every_side.alias("coarse")))
+        .scalar()
+    )
 
     def below(array: Column) -> Column:
         return F.size(F.filter(array, lambda bound: bound < value))
 
-    coarse = F.transform(F.sequence(F.lit(1), F.lit(_SIDE - 1)), lambda k: F.get(F.col("_bounds"), k * _SIDE - 1))
-    fine = F.slice(F.col("_bounds"), F.col("_coarse") * _SIDE + 1, F.lit(_SIDE - 1))
+    fine = F.slice(F.col("_bounds.fine"), F.col("_coarse") * _SIDE + 1, F.lit(_SIDE - 1))
     return (
         df.withColumn("_bounds", bounds)
-        .withColumn("_coarse", below(coarse))
+        .withColumn("_coarse", below(F.col("_bounds.coarse")))
         .withColumn("_range", F.coalesce(F.col("_coarse") * _SIDE + below(fine), F.lit(0)))
         .drop("_bounds", "_coarse")
     )
@@ -99,6 +103,19 @@ def running_totals(
     ).drop("_range", *kept)
 
 
+def value_frequencies(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """(group, `column`, `value`, `_n`): how often each number occurs, without nulls and NaN."""
+    pairs = F.array(
+        *[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns]
+    )
+    # Null keys go first in every branch, so that all branches share one exchange.
+    keyed = df
+    for key in by:
+        keyed = keyed.filter(F.col(key).isNotNull())
+    long = keyed.select(*by, F.inline(pairs)).filter(F.col("value").isNotNull() & ~F.isnan("value"))
+    return long.groupBy(*by, "column", "value").agg(F.count(F.lit(1)).alias("_n"))
+
+
 def exact_quantiles(
     df: DataFrame, columns: Sequence[str], shares: Sequence[float], by: Sequence[str] = ()
 ) -> DataFrame:
@@ -107,14 +124,12 @@ def exact_quantiles(
     Nulls and NaN are left out. Equal values are counted before anything is
     ordered, and only the value ranges that hold a wanted position are ordered.
     """
-    pairs = F.array(
-        *[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns]
-    )
-    # Null keys go first in every branch, so that all branches share one exchange.
-    keyed = df.dropna(subset=list(by)) if by else df
-    long = keyed.select(*by, F.inline(pairs)).filter(F.col("value").isNotNull() & ~F.isnan("value"))
+    return quantiles_of_frequencies(value_frequencies(df, columns, by), shares, by)
+
+
+def quantiles_of_frequencies(counts: DataFrame, shares: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
+    """The same from `value_frequencies`."""
     keys = [*by, "column"]
-    counts = long.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("_n"))
     ranged = _with_range(counts, "value", "_n")
     starts = _range_starts(ranged, keys, {"n": F.col("_n")})
 

@@ -6,9 +6,9 @@ from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
+from pyspark.sql.types import DateType, DoubleType, FloatType, NumericType, TimestampNTZType, TimestampType
 
-from brightloom.operators.ordering import exact_quantiles
+from brightloom.operators.ordering import exact_quantiles, quantiles_of_frequencies, value_frequencies
 
 _INFINITY = float("inf")
 
@@ -36,7 +36,13 @@ def finite_or_null(column: Column) -> Column:
 
 
 def drop_incomplete(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return df.dropna(subset=list(columns))
+    """Rows without a null or NaN in the columns; one filter each, so they reach the scans."""
+    kept = df
+    for name in columns:
+        kept = kept.filter(F.col(name).isNotNull())
+        if isinstance(df.schema[name].dataType, (DoubleType, FloatType)):
+            kept = kept.filter(~F.isnan(name))
+    return kept
 
 
 def column_difference(expected: Iterable[str], actual: Iterable[str]) -> tuple[list[str], list[str]]:
@@ -179,21 +185,38 @@ def ranges(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """count, mean, std (sample), min, quartiles (interpolated) and max per column."""
-    parts = {
-        "count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max,
-    }
-    wide = df.agg(
-        *[f(F.col(c).cast("double")).cast("double").alias(f"{c}__{n}") for c in columns for n, f in parts.items()]
+    """count, mean, std (sample), min, quartiles (interpolated) and max per column.
+
+    Everything is worked out from the frequencies of the values: the rows are read
+    and shuffled once, and the branches below share that exchange.
+    """
+    counts = value_frequencies(df, columns)
+    n, value = F.col("_n"), F.col("value")
+    moments = counts.groupBy("column").agg(
+        F.sum(n).alias("count"),
+        (F.sum(n * value) / F.sum(n)).alias("mean"),
+        F.min(value).alias("min"),
+        F.max(value).alias("max"),
     )
-    rows = [
-        F.struct(F.lit(c).alias("column"), *[F.col(f"{c}__{n}").alias(n) for n in parts]) for c in columns
-    ]
-    quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75]).select(
+    spread = (
+        counts.join(moments.select("column", "mean"), "column")
+        .groupBy("column")
+        .agg((F.sum(n * (value - F.col("mean")) * (value - F.col("mean"))).alias("squares")))
+    )
+    quartiles = quantiles_of_frequencies(counts, [0.25, 0.5, 0.75]).select(
+        "column",
+        *[F.get("quantiles", F.lit(i)).alias(name) for i, name in enumerate(["q25", "q50", "q75"])],
+    )
+    # A column without numbers keeps its row, with count 0 and nulls.
+    listed = df.sparkSession.range(1).select(F.explode(F.array(*[F.lit(c) for c in columns])).alias("column"))
+    joined = listed.join(moments, "column", "left").join(spread, "column", "left").join(quartiles, "column", "left")
+    return joined.select(
         "column",
-        *[F.get("quantiles", F.lit(i)).alias(n) for i, n in enumerate(["q25", "q50", "q75"])],
+        F.coalesce(F.col("count"), F.lit(0)).cast("double").alias("count"),
+        "mean",
+        F.when(F.col("count") > 1, F.sqrt(F.col("squares") / (F.col("count") - 1))).alias("std"),
+        "min", "q25", "q50", "q75", "max",
     )
-    return wide.select(F.inline(F.array(*rows))).join(quartiles, "column", "left")
 
 
 def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:

@@ -15,17 +15,17 @@ def rfm_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return customers.rfm(customers.clean_transactions(views.transactions(spark, sf_dir)))
 
 
-def clustered_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """RFM with a fixed cluster per customer, so that profiles can be checked in SQL.
+def kept_rfm_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same in memory and on disk, for queries that read it several times.
 
-    Profiles read it several times. It is kept in memory and on disk: one row per
-    customer, while the order lines behind it are read once.
+    It has one row per customer, while the order lines behind it are read once.
     """
-    return (
-        rfm_table(spark, sf_dir)
-        .withColumn("Cluster", (F.col("CustomerID") % 4).cast("int"))
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    )
+    return rfm_table(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def clustered_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """RFM with a fixed cluster per customer, so that profiles can be checked in SQL."""
+    return kept_rfm_table(spark, sf_dir).withColumn("Cluster", (F.col("CustomerID") % 4).cast("int"))
 
 
 def tx_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,7 +46,7 @@ def rfm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rfm_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return customers.segment_customers(rfm_table(spark, sf_dir)).select(
+    return customers.segment_customers(kept_rfm_table(spark, sf_dir)).select(
         "CustomerID", F.col("Recency").cast("long"), "Frequency", F.round("Monetary", 2).alias("Monetary"), "Segment"
     )
 

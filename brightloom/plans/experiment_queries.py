@@ -34,7 +34,7 @@ def experiment_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _cache(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _cache(grid: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
     """Answers kept from before: one per distinct baseline prompt of the richer customers.
 
     Few keys serve very many requests.
@@ -43,8 +43,7 @@ def _cache(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("exp-"), F.col("c_custkey").cast("string")).alias("experiment_id"), "c_acctbal"
     )
     entries = (
-        _grid(spark, sf_dir)
-        .filter((F.col("prompt_id") == "baseline") & (F.col("test_case_id") == "for-analysts") & (F.col("run_number") == 1))
+        grid.filter((F.col("prompt_id") == "baseline") & (F.col("test_case_id") == "for-analysts") & (F.col("run_number") == 1))
         .join(rich, "experiment_id")
         .select(
             "cache_key", F.concat(F.lit("cached "), "prompt_text").alias("text"), "model",
@@ -56,8 +55,11 @@ def _cache(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def cache_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records from the cache, from earlier requests with the same key and from supplied responses."""
+    # The grid feeds the records, the first answers per key and the cache table.
+    # Rendering and hashing are done once; lost blocks are rebuilt from the tables.
+    grid = _grid(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
     records = experiments.collect_responses(
-        _grid(spark, sf_dir), views.supplied_responses(spark, sf_dir), ["experiment_id"], _cache(spark, sf_dir), CONFIG
+        grid, views.supplied_responses(spark, sf_dir), ["experiment_id"], _cache(grid, spark, sf_dir), CONFIG
     )
     return records.select(
         "experiment_id", "prompt_id", "test_case_id", F.col("run_number").cast("long"), "response", "success",
@@ -68,7 +70,7 @@ def cache_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def render_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Templates with known, missing and doubled braces, filled from maps with odd values."""
-    orders = views.table(spark, sf_dir, "orders")
+    orders = views.busy_table(spark, sf_dir, "orders")
     template = (
         F.when(F.col("o_orderstatus") == "F", "Order {id} is {status}: {priority}")
         .when(F.col("o_orderstatus") == "O", "Order {id} {{keeps}} {unknown}")
@@ -92,7 +94,7 @@ def prompt_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def row_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Errors of experiments with broken parts: bad settings by order value, missing cases."""
-    orders = views.table(spark, sf_dir, "orders")
+    orders = views.busy_table(spark, sf_dir, "orders")
     key = F.concat(F.lit("exp-"), F.col("o_custkey").cast("string")).alias("experiment_id")
     prompts = orders.select(
         key, F.col("o_orderkey").cast("string").alias("prompt_id"),
@@ -113,7 +115,7 @@ def row_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def experiment_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as prompts and events as cases of one experiment per customer number."""
-    prompts = views.table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("experiment_id"))
+    prompts = views.busy_table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("experiment_id"))
     cases = views.table(spark, sf_dir, "events").select(F.col("user_id").alias("experiment_id"))
     return experiments.experiment_sizes(prompts, cases, F.lit("2.5"))
 
@@ -182,7 +184,7 @@ def response_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 def phrase_compliance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Required phrases per document; short documents require none."""
     needed = F.when(F.col("n_chars") > 200, text.literal_strings(PHRASES))
-    found = views.table(spark, sf_dir, "documents").select(
+    found = views.busy_table(spark, sf_dir, "documents").select(
         "doc_id", F.inline(F.array(text.phrase_compliance(F.col("text"), needed)))
     )
     return found.withColumn("compliance", F.round("compliance", 4))

@@ -14,7 +14,7 @@ _BREAK = r"'\r\n|[\n\x0b\x0c\r\x1c\x1d\x1e]'"
 
 def text_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     body = F.col("text")
-    return views.table(spark, sf_dir, "documents").select(
+    return views.busy_table(spark, sf_dir, "documents").select(
         "doc_id",
         text.word_count(body).alias("words"),
         text.line_count(body).alias("lines"),
@@ -25,7 +25,7 @@ def text_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def text_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stats = views.table(spark, sf_dir, "documents").select("doc_id", text.text_stats(F.col("text")).alias("s"))
+    stats = views.busy_table(spark, sf_dir, "documents").select("doc_id", text.text_stats(F.col("text")).alias("s"))
     return stats.select(
         "doc_id", "s.characters", "s.words", "s.lines", "s.sentences", "s.unique_words",
         F.round("s.average_word_length", 6).alias("average_word_length"),
@@ -37,7 +37,7 @@ def _prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
     wrapped = F.concat(
         F.lit("Explain {segment} and list {two words}: "), F.col("text"), F.lit(" { "), F.col("role"), F.lit(" }? Compare?")
     )
-    return views.table(spark, sf_dir, "conversations").select("conv_id", "turn", wrapped.alias("text"))
+    return views.busy_table(spark, sf_dir, "conversations").select("conv_id", "turn", wrapped.alias("text"))
 
 
 def prompt_inspect(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,7 +56,7 @@ def slug_hash_redact(spark: SparkSession, sf_dir: str) -> DataFrame:
         provider=F.col("source"), model=F.lit("demo-model"), prompt=body, system=F.lit(""),
         temperature=F.lit(0.2).cast("double"), max_tokens=F.lit(None).cast("int"),
     )
-    return views.table(spark, sf_dir, "documents").select(
+    return views.busy_table(spark, sf_dir, "documents").select(
         "doc_id",
         text.slugify(F.regexp_extract(body, r"^[^.!?\n]*", 0)).alias("slug"),
         key.alias("cache_key"),
@@ -68,14 +68,14 @@ def slug_hash_redact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return views.table(spark, sf_dir, "documents").select(
+    return views.busy_table(spark, sf_dir, "documents").select(
         "doc_id", F.inline(F.array(text.secret_scan(F.col("text"))))
     )
 
 
 def value_describe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Description of a number, a text with gaps and a list per event."""
-    events = views.table(spark, sf_dir, "events").select(
+    events = views.busy_table(spark, sf_dir, "events").select(
         "event_id", "value",
         F.when(F.col("event_type") != "error", F.col("props")).alias("props"),
         F.split("event_type", "i").alias("pieces"),
@@ -103,7 +103,7 @@ def _json_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(kind == "error", F.rtrim(F.replace(F.col("props"), F.lit("}"), F.lit(" "))))
         .otherwise(F.col("props"))
     )
-    return views.table(spark, sf_dir, "events").select("event_id", "event_type", "value", body.alias("text"))
+    return views.busy_table(spark, sf_dir, "events").select("event_id", "event_type", "value", body.alias("text"))
 
 
 def json_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -133,7 +133,7 @@ def judge_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit('"safety": -3, "overall": '), (F.length("event_type") * 1.25).cast("double").cast("string"),
         F.lit(', "reason": "'), F.col("event_type"), F.lit('"}'),
     )
-    scored = views.table(spark, sf_dir, "events").select(
+    scored = views.busy_table(spark, sf_dir, "events").select(
         "event_id", jsonx.score_from_object(jsonx.parse_json_object(reply)).alias("s")
     )
     return scored.select("event_id", "s.*")
@@ -143,13 +143,13 @@ def grade_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     marks = F.when(F.col("event_type") == "error", F.concat(F.lit("x"), F.col("value").cast("string"))).otherwise(
         F.col("value").cast("string")
     )
-    return views.table(spark, sf_dir, "events").select("event_id", F.inline(F.array(maths.grade_band(marks))))
+    return views.busy_table(spark, sf_dir, "events").select("event_id", F.inline(F.array(maths.grade_band(marks))))
 
 
 def calc_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two-operand calculations per order line; the second operand is often zero."""
     a, b = F.col("l_extendedprice"), F.col("l_linenumber") - 4.0
-    lines = views.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", a.alias("a"), b.cast("double").alias("b"))
+    lines = views.busy_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", a.alias("a"), b.cast("double").alias("b"))
     a, b = F.col("a"), F.col("b")
     answers = {
         "plus": maths.add(a, b), "minus": maths.subtract(a, b), "times": maths.multiply(a, b),
@@ -172,7 +172,7 @@ def calc_unary(spark: SparkSession, sf_dir: str) -> DataFrame:
         "root": maths.square_root(x), "log_ten": maths.log10(x), "log_e": maths.natural_log(x),
         "sine": maths.sine(angle), "cosine": maths.cosine(angle),
     }
-    return views.table(spark, sf_dir, "customer").select(
+    return views.busy_table(spark, sf_dir, "customer").select(
         "c_custkey",
         *[F.round(v["result"], 6).alias(n) for n, v in answers.items()],
         *[answers[n]["error"].alias(f"{n}_error") for n in ("root", "log_ten", "log_e")],
@@ -187,7 +187,7 @@ def calc_factorial(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.col("l_quantity").cast("string"))
     )
     answer = maths.factorial(written)
-    return views.table(spark, sf_dir, "lineitem").select(
+    return views.busy_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", written.alias("written"),
         answer["result"].cast("string").alias("result"), answer["error"].alias("error"),
     )
@@ -195,7 +195,7 @@ def calc_factorial(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def scalar_helpers(spark: SparkSession, sf_dir: str) -> DataFrame:
     x = F.col("c_acctbal")
-    return views.table(spark, sf_dir, "customer").select(
+    return views.busy_table(spark, sf_dir, "customer").select(
         "c_custkey",
         F.round(maths.log1p_clipped(x), 6).alias("log1p"),
         maths.clamp(x, 0, 1000).alias("clamped"),
@@ -208,7 +208,7 @@ def scalar_helpers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_moments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return views.table(spark, sf_dir, "events").select(
+    return views.busy_table(spark, sf_dir, "events").select(
         "event_id", maths.utc_iso(F.col("ts")).alias("iso"), F.round(maths.epoch_seconds(F.col("ts")), 3).alias("epoch"),
         F.date_format(F.date_add(F.to_date("ts"), 1), "yyyy-MM-dd").alias("next_day"),
     )

@@ -96,11 +96,11 @@ def kmeans_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def kmeans_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Segments of all customers from the fitted model, saved and loaded again."""
-    table = rfm_table(spark, sf_dir)
-    scaling, features, _ = clusters.prepare(table)
+    scaling, features, _ = clusters.prepare(rfm_table(spark, sf_dir))
     kmeans, _ = clusters.best_kmeans(features, 4, restarts=5)
     model = clusters.segment_pipeline(scaling, kmeans)
-    clustered = model.transform(table).select("CustomerID", *customers.FEATURES, "Cluster")
+    table = features.select("CustomerID", *customers.FEATURES)
+    clustered = kmeans.transform(features).select("CustomerID", *customers.FEATURES, "Cluster")
     profile = customers.cluster_profile(clustered).select("Cluster", "Segment").collect()  # one row per cluster
     folder = _scratch(spark, "segments")
     io.save_model(model, folder, best_k=4, features=list(customers.FEATURES))

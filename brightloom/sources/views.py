@@ -26,9 +26,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores on a scan that has fewer splits than the session has cores.
+
+    A small table is often one Parquet row group and hence one task. Large tables
+    have more splits than cores and are returned as they are, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def busy_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table for costly work per row (texts, JSON, hashing)."""
+    return spread(table(spark, sf_dir, name))
+
+
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines as sales; a returned line has a negative quantity."""
-    lines = table(spark, sf_dir, "lineitem")
+    lines = busy_table(spark, sf_dir, "lineitem")
     orders = table(spark, sf_dir, "orders")
     return lines.join(orders, lines.l_orderkey == orders.o_orderkey).select(
         F.col("o_custkey").alias("CustomerID"),
@@ -42,7 +57,7 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same lines as text, as a CSV reader gives them; open orders have no date yet."""
-    lines = table(spark, sf_dir, "lineitem")
+    lines = busy_table(spark, sf_dir, "lineitem")
     orders = table(spark, sf_dir, "orders")
     day = F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")
     return lines.join(orders, lines.l_orderkey == orders.o_orderkey).select(
@@ -70,7 +85,7 @@ def parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as a raw catalogue: the first sentence is the title, the whole text the overview."""
-    return table(spark, sf_dir, "documents").select(
+    return busy_table(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("ID"),
         F.regexp_extract("text", r"^[^.!?\n]*", 0).alias("Movie Title"),
         F.concat("lang", F.lit("|"), "source").alias("Genre"),
@@ -86,7 +101,7 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Lines become bullets, every third answer is JSON and some are empty.
     """
-    turns = table(spark, sf_dir, "conversations")
+    turns = busy_table(spark, sf_dir, "conversations")
     asked = turns.filter(F.col("role") == "user").select(
         "conv_id", "turn", F.col("text").alias("prompt_text")
     )
@@ -169,7 +184,7 @@ def experiment_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
             for i, (name, text, model, temperature) in enumerate(PROMPT_TEMPLATES)
         ]
     )
-    return table(spark, sf_dir, "customer").select(
+    return busy_table(spark, sf_dir, "customer").select(
         F.concat(F.lit("exp-"), F.col("c_custkey").cast("string")).alias("experiment_id"),
         F.col("c_custkey").alias("experiment_seq"),
         F.inline(rows),
@@ -188,7 +203,7 @@ def experiment_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
             for i, (audience, words) in enumerate(CASE_TEMPLATES)
         ]
     )
-    exploded = table(spark, sf_dir, "customer").select(
+    exploded = busy_table(spark, sf_dir, "customer").select(
         F.concat(F.lit("exp-"), F.col("c_custkey").cast("string")).alias("experiment_id"),
         F.col("c_mktsegment").alias("segment"), F.col("c_nationkey").cast("string").alias("nation"),
         F.when(F.col("c_acctbal") < 0, F.lit(60)).cast("int").alias("min_words"),
