@@ -84,7 +84,7 @@ def business_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 def describe_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     sales = customers.clean_transactions(views.transactions(spark, sf_dir))
     stats = quality.describe(sales, ["Quantity", "UnitPrice", "Sales"])
-    return stats.select("column", *[F.round(c, 4).alias(c) for c in stats.columns[1:]])
+    return stats.select("column", *[F.round(c, 9).alias(c) for c in stats.columns[1:]])
 
 
 def histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,9 +100,9 @@ def record_inspect(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _DESCRIBE = "\nUNION ALL\n".join(
-    f"""SELECT '{c}' AS "column", CAST(count({c}) AS DOUBLE) AS count, round(avg({c}), 4) AS mean,
-  round(stddev_samp({c}), 4) AS std, round(min({c}), 4) AS min, round(quantile_cont({c}, 0.25), 4) AS q25,
-  round(quantile_cont({c}, 0.5), 4) AS q50, round(quantile_cont({c}, 0.75), 4) AS q75, round(max({c}), 4) AS max
+    f"""SELECT '{c}' AS "column", CAST(count({c}) AS DOUBLE) AS count, round(avg({c}), 9) AS mean,
+  round(stddev_samp({c}), 9) AS std, round(min({c}), 9) AS min, round(quantile_cont({c}, 0.25), 9) AS q25,
+  round(quantile_cont({c}, 0.5), 9) AS q50, round(quantile_cont({c}, 0.75), 9) AS q75, round(max({c}), 9) AS max
 FROM sales"""
     for c in ("Quantity", "UnitPrice", "Sales")
 )
@@ -189,7 +189,7 @@ PLANS = {
         record_inspect,
         with_ctes(
             RFM + ", one AS (SELECT * FROM rfm ORDER BY CustomerID LIMIT 1)",
-            """SELECT 1 AS position, 'CustomerID' AS name, CAST(CustomerID AS VARCHAR) AS value FROM one
+            """SELECT CAST(1 AS BIGINT) AS position, 'CustomerID' AS name, CAST(CustomerID AS VARCHAR) AS value FROM one
             UNION ALL SELECT 2, 'Recency', CAST(Recency AS VARCHAR) FROM one
             UNION ALL SELECT 3, 'Frequency', CAST(Frequency AS VARCHAR) FROM one""",
         ),

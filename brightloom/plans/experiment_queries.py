@@ -547,8 +547,8 @@ PLANS = {
         experiment_summary,
         with_ctes(
             _CHECKS,
-            """SELECT experiment_id, count(*) AS total_requests, count_if(success) AS successful_requests,
-              count_if(NOT success) AS failed_requests, coalesce(round(avg(overall), 9), 0) AS average_score,
+            """SELECT experiment_id, count(*) AS total_requests, count(*) FILTER (success) AS successful_requests,
+              count(*) FILTER (NOT success) AS failed_requests, coalesce(round(avg(overall), 9), 0) AS average_score,
               coalesce(round(avg(latency_seconds) FILTER (success), 9), 0) AS average_latency,
               coalesce(round(avg(words) FILTER (success), 9), 0) AS average_response_words,
               coalesce(round(stddev_samp(overall), 9), 0) AS score_std_dev

@@ -92,8 +92,8 @@ PLANS = {
         null_counts,
         """
         SELECT unnest(['l_orderkey', 'l_tax', 'l_discount', 'l_returnflag']) AS "column",
-               unnest([count_if(l_orderkey IS NULL), count_if(l_tax = 0), count_if(l_discount = 0),
-                       count_if(l_returnflag = 'A')]) AS nulls
+               unnest([count(*) FILTER (l_orderkey IS NULL), count(*) FILTER (l_tax = 0), count(*) FILTER (l_discount = 0),
+                       count(*) FILTER (l_returnflag = 'A')]) AS nulls
         FROM lineitem""",
     ),
     "duplicate_counts": (
@@ -115,7 +115,7 @@ PLANS = {
         infinite_counts,
         """
         SELECT unnest(['per_discount', 'per_tax']) AS "column",
-               unnest([count_if(l_discount = 0), count_if(l_tax = 0)]) AS infinite FROM lineitem""",
+               unnest([count(*) FILTER (l_discount = 0), count(*) FILTER (l_tax = 0)]) AS infinite FROM lineitem""",
     ),
     "value_counts_share": (
         value_counts_share,
@@ -136,7 +136,7 @@ PLANS = {
                round(any_value(q3), 4) AS q3,
                round(min(value) FILTER (value BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1)), 4) AS whisker_low,
                round(max(value) FILTER (value BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1)), 4) AS whisker_high,
-               count_if(NOT (value BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1))) AS outliers
+               count(*) FILTER (NOT (value BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1))) AS outliers
         FROM events JOIN q USING (event_type) GROUP BY event_type""",
     ),
     "finite_vectors": (
