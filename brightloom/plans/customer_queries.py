@@ -84,7 +84,7 @@ def business_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 def describe_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     sales = customers.clean_transactions(views.transactions(spark, sf_dir))
     stats = quality.describe(sales, ["Quantity", "UnitPrice", "Sales"])
-    return stats.select("column", *[F.round(c, 9).alias(c) for c in stats.columns[1:]])
+    return stats.select("column", *[F.round(c, 7).alias(c) for c in stats.columns[1:]])
 
 
 def histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,9 +100,9 @@ def record_inspect(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _DESCRIBE = "\nUNION ALL\n".join(
-    f"""SELECT '{c}' AS "column", CAST(count({c}) AS DOUBLE) AS count, round(avg({c}), 9) AS mean,
-  round(stddev_samp({c}), 9) AS std, round(min({c}), 9) AS min, round(quantile_cont({c}, 0.25), 9) AS q25,
-  round(quantile_cont({c}, 0.5), 9) AS q50, round(quantile_cont({c}, 0.75), 9) AS q75, round(max({c}), 9) AS max
+    f"""SELECT '{c}' AS "column", CAST(count({c}) AS DOUBLE) AS count, round(avg({c}), 7) AS mean,
+  round(stddev_samp({c}), 7) AS std, round(min({c}), 7) AS min, round(quantile_cont({c}, 0.25), 7) AS q25,
+  round(quantile_cont({c}, 0.5), 7) AS q50, round(quantile_cont({c}, 0.75), 7) AS q75, round(max({c}), 7) AS max
 FROM sales"""
     for c in ("Quantity", "UnitPrice", "Sales")
 )

@@ -26,9 +26,9 @@ clustered AS (SELECT *, CustomerID % 4 AS Cluster FROM rfm),
 overall AS (SELECT median(Recency) AS r, median(Frequency) AS f, median(Monetary) AS m FROM rfm),
 means AS (
   SELECT Cluster, count(*) AS Customers,
-         round(avg(Recency), 2) AS AvgRecency, round(median(Recency), 2) AS MedianRecency,
-         round(avg(Frequency), 2) AS AvgFrequency, round(median(Frequency), 2) AS MedianFrequency,
-         round(avg(Monetary), 2) AS AvgMonetary, round(median(Monetary), 2) AS MedianMonetary
+         round_even(avg(Recency), 2) AS AvgRecency, round_even(median(Recency), 2) AS MedianRecency,
+         round_even(avg(Frequency), 2) AS AvgFrequency, round_even(median(Frequency), 2) AS MedianFrequency,
+         round_even(avg(Monetary), 2) AS AvgMonetary, round_even(median(Monetary), 2) AS MedianMonetary
   FROM clustered GROUP BY Cluster),
 named AS (
   SELECT means.*, {segment} AS Name FROM means, overall),
