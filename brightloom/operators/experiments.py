@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from brightloom.functions import maths, text
 from brightloom.operators.ordering import row_numbers
+from brightloom.session import checkpointed
 
 # Validation messages and the size warning.
 PROMPT_RULES = {
@@ -126,7 +127,8 @@ def _per_experiment(rows: DataFrame, name: str) -> DataFrame:
 def create_experiments(definitions: DataFrame, prompts: DataFrame, cases: DataFrame) -> DataFrame:
     """Definitions with defaults filled in; fails when any experiment has an error.
 
-    Rows without an id get `exp-` and ten hex digits.
+    Rows without an id get `exp-` and ten hex digits. The rows are checkpointed, as
+    a generated id must not change when the frame is read again.
     """
     generated = F.concat(F.lit("exp-"), F.left(F.replace(F.uuid(), F.lit("-"), F.lit("")), F.lit(10)))
     filled = definitions.withColumns(
@@ -136,6 +138,7 @@ def create_experiments(definitions: DataFrame, prompts: DataFrame, cases: DataFr
             "blind_evaluation": F.coalesce("blind_evaluation", F.lit(False)),
         }
     )
+    filled = checkpointed(filled)
     broken = experiment_errors(filled, prompts, cases).limit(20).collect()
     if broken:
         raise ValueError("\n".join(row["error"] for row in broken))

@@ -28,15 +28,21 @@ UNKNOWN = "Unknown"
 BROADCAST_TERMS = 200_000
 
 
-def term_counts(docs: DataFrame, stop_words: Sequence[str] | None = None, partitions: int | None = None) -> DataFrame:
+def place_by_id(docs: DataFrame, partitions: int | None = None) -> DataFrame:
+    """(id, tags) placed by id: the one shuffle of the texts."""
+    rows = docs.select("id", text.blank_if_null(F.col("tags")).alias("tags"))
+    return rows.repartition(partitions, "id") if partitions else rows.repartition("id")
+
+
+def term_counts(placed: DataFrame, stop_words: Sequence[str] | None = None) -> DataFrame:
     """(id, term, tf) of the words and word pairs in `tags`; pairs skip over stop words.
 
-    Words have two letters or more. Only the text travels: it is placed by id
-    first, and counting the terms of a document then needs no further shuffle.
+    Words have two letters or more. With documents placed by id, counting the
+    terms of a document needs no further shuffle.
     """
     if stop_words is None:
         stop_words = StopWordsRemover.loadDefaultStopWords("english")
-    found = F.regexp_extract_all(F.lower(text.blank_if_null(F.col("tags"))), F.lit(r"(?U)\b\w\w+\b"), F.lit(0))
+    found = F.regexp_extract_all(F.lower(F.col("tags")), F.lit(r"(?U)\b\w\w+\b"), F.lit(0))
     words = F.filter(found, lambda w: ~w.isin(list(stop_words))) if stop_words else found
     one = F.col("_words")
     pairs = F.zip_with(
@@ -44,8 +50,6 @@ def term_counts(docs: DataFrame, stop_words: Sequence[str] | None = None, partit
         F.slice(one, F.lit(2), F.greatest(F.size(one) - 1, F.lit(0))),
         lambda a, b: F.concat_ws(" ", a, b),
     )
-    placed = docs.select("id", "tags")
-    placed = placed.repartition(partitions, "id") if partitions else placed.repartition("id")
     return (
         placed.select("id", words.alias("_words"))
         .select("id", F.explode(F.concat(one, pairs)).alias("term"))
@@ -54,13 +58,15 @@ def term_counts(docs: DataFrame, stop_words: Sequence[str] | None = None, partit
     )
 
 
-def vocabulary(counts: DataFrame, docs: DataFrame, max_features: int = 10_000, min_df: int = 1) -> DataFrame:
+def vocabulary(counts: DataFrame, placed: DataFrame, max_features: int = 10_000, min_df: int = 1) -> DataFrame:
     """(term, df, total, idf) of the most frequent terms; equal counts go by term.
 
     idf is smoothed as if one more document held every term. Totals are merged
     per partition before the shuffle, and the cut is a top-k, not a sort.
     """
-    n = docs.agg(F.count(F.lit(1))).scalar()
+    # Looking at the text keeps both columns in this branch, so the documents are
+    # counted on the exchange that the terms come from and not read again.
+    n = placed.agg(F.count_if(F.length("tags") >= 0)).scalar()
     top = (
         counts.groupBy("term")
         .agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("total"))
@@ -92,8 +98,9 @@ def tfidf(
     docs: DataFrame, stop_words: Sequence[str] | None = None, max_features: int = 10_000, min_df: int = 1
 ) -> DataFrame:
     """Weights of every document (`id`, `tags`)."""
-    counts = term_counts(docs, stop_words)
-    return weigh(counts, vocabulary(counts, docs, max_features, min_df), max_features)
+    placed = place_by_id(docs)
+    counts = term_counts(placed, stop_words)
+    return weigh(counts, vocabulary(counts, placed, max_features, min_df), max_features)
 
 
 def title_index(catalogue: DataFrame) -> DataFrame:

@@ -174,6 +174,18 @@ def test_create_experiments(spark):
     assert (good["runs_per_case"], good["blind_evaluation"]) == (1, False)
 
 
+def test_generated_ids_stay(spark):
+    definitions = spark.createDataFrame([("n",)], "name string").selectExpr(
+        "CAST(NULL AS string) AS experiment_id", "name", "CAST(NULL AS int) AS runs_per_case", "CAST(NULL AS boolean) AS blind_evaluation"
+    )
+    with pytest.raises(ValueError, match="At least one test case"):
+        experiments.create_experiments(
+            definitions,
+            spark.createDataFrame([], "experiment_id string, prompt_id string, name string, text string, temperature double, max_tokens int"),
+            spark.createDataFrame([], "experiment_id string, test_case_id string, name string, min_words int, max_words int"),
+        )
+
+
 def test_judge_choice(spark):
     df = spark.createDataFrame(
         [(1, True, (5.0, "rule", "rule-based")), (2, True, (5.0, "rule", "rule-based")), (3, False, None)],
