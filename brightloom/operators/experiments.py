@@ -124,25 +124,30 @@ def _per_experiment(rows: DataFrame, name: str) -> DataFrame:
     return rows.groupBy("experiment_id").agg(F.count(F.lit(1)).alias(name))
 
 
-def create_experiments(definitions: DataFrame, prompts: DataFrame, cases: DataFrame) -> DataFrame:
-    """Definitions with defaults filled in; fails when any experiment has an error.
+def assign_experiment_ids(definitions: DataFrame) -> DataFrame:
+    """Definitions with defaults; rows without an id get `exp-` and ten hex digits.
 
-    Rows without an id get `exp-` and ten hex digits. The rows are checkpointed, as
-    a generated id must not change when the frame is read again.
+    The rows are checkpointed, as a generated id must not change when the frame is
+    read again. Join prompts and test cases to the result to give them their id.
     """
     generated = F.concat(F.lit("exp-"), F.left(F.replace(F.uuid(), F.lit("-"), F.lit("")), F.lit(10)))
-    filled = definitions.withColumns(
-        {
-            "experiment_id": F.coalesce("experiment_id", generated),
-            "runs_per_case": F.coalesce("runs_per_case", F.lit(1)),
-            "blind_evaluation": F.coalesce("blind_evaluation", F.lit(False)),
-        }
+    return checkpointed(
+        definitions.withColumns(
+            {
+                "experiment_id": F.coalesce("experiment_id", generated),
+                "runs_per_case": F.coalesce("runs_per_case", F.lit(1)),
+                "blind_evaluation": F.coalesce("blind_evaluation", F.lit(False)),
+            }
+        )
     )
-    filled = checkpointed(filled)
-    broken = experiment_errors(filled, prompts, cases).limit(20).collect()
+
+
+def create_experiments(definitions: DataFrame, prompts: DataFrame, cases: DataFrame) -> DataFrame:
+    """The definitions, if no experiment, prompt or test case has an error; else fails with the first 20."""
+    broken = experiment_errors(definitions, prompts, cases).limit(20).collect()
     if broken:
         raise ValueError("\n".join(row["error"] for row in broken))
-    return filled
+    return definitions
 
 
 def upsert(existing: DataFrame, incoming: DataFrame, key: str) -> DataFrame:

@@ -161,29 +161,18 @@ def test_history_cache_and_prompts(spark, tmp_path):
 
 
 def test_create_experiments(spark):
-    definitions = spark.createDataFrame([(None, "n", None, None)], "experiment_id string, name string, runs_per_case int, blind_evaluation boolean")
-    prompts = spark.createDataFrame([], "experiment_id string, prompt_id string, name string, text string, temperature double, max_tokens int")
-    cases = spark.createDataFrame([], "experiment_id string, test_case_id string, name string, min_words int, max_words int")
+    definitions = spark.createDataFrame([(None, "n", None, None), ("mine", "m", 3, True)],
+                                        "experiment_id string, name string, runs_per_case int, blind_evaluation boolean")
+    named = experiments.assign_experiment_ids(definitions)
+    rows = {r["name"]: r for r in named.collect()}
+    assert rows == {r["name"]: r for r in named.collect()}
+    assert rows["n"]["experiment_id"].startswith("exp-") and len(rows["n"]["experiment_id"]) == 14
+    assert (rows["n"]["runs_per_case"], rows["n"]["blind_evaluation"], rows["m"]["experiment_id"]) == (1, False, "mine")
+    prompts = named.selectExpr("experiment_id", "'p' AS prompt_id", "'n' AS name", "'t' AS text", "CAST(NULL AS double) AS temperature", "1 AS max_tokens")
+    cases = named.selectExpr("experiment_id", "'c' AS test_case_id", "'n' AS name", "1 AS min_words", "2 AS max_words")
+    assert experiments.create_experiments(named, prompts, cases).count() == 2
     with pytest.raises(ValueError, match="At least one prompt"):
-        experiments.create_experiments(definitions, prompts, cases)
-    good = experiments.create_experiments(
-        definitions.withColumn("experiment_id", F.lit("e")),
-        spark.createDataFrame([("e", "p", "n", "t", None, None)], prompts.schema),
-        spark.createDataFrame([("e", "t", "n", None, None)], cases.schema),
-    ).first()
-    assert (good["runs_per_case"], good["blind_evaluation"]) == (1, False)
-
-
-def test_generated_ids_stay(spark):
-    definitions = spark.createDataFrame([("n",)], "name string").selectExpr(
-        "CAST(NULL AS string) AS experiment_id", "name", "CAST(NULL AS int) AS runs_per_case", "CAST(NULL AS boolean) AS blind_evaluation"
-    )
-    with pytest.raises(ValueError, match="At least one test case"):
-        experiments.create_experiments(
-            definitions,
-            spark.createDataFrame([], "experiment_id string, prompt_id string, name string, text string, temperature double, max_tokens int"),
-            spark.createDataFrame([], "experiment_id string, test_case_id string, name string, min_words int, max_words int"),
-        )
+        experiments.create_experiments(named, prompts.limit(0), cases)
 
 
 def test_judge_choice(spark):
