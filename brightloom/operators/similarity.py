@@ -9,11 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from brightloom.functions import text
+from brightloom.functions.words import ENGLISH_STOP_WORDS
 from brightloom.operators.catalogue import matches_filters
 
 # Words an explanation never names.
@@ -24,8 +24,6 @@ IGNORED_WORDS = (
 NO_SHARED_TERMS = "Ranked by similarity across the available movie metadata."
 SHARED_TERMS = "Shares metadata terms: "
 UNKNOWN = "Unknown"
-# A vocabulary up to this size is surely small enough to broadcast (some MB).
-BROADCAST_TERMS = 200_000
 
 
 def place_by_id(docs: DataFrame, partitions: int | None = None) -> DataFrame:
@@ -34,14 +32,12 @@ def place_by_id(docs: DataFrame, partitions: int | None = None) -> DataFrame:
     return rows.repartition(partitions, "id") if partitions else rows.repartition("id")
 
 
-def term_counts(placed: DataFrame, stop_words: Sequence[str] | None = None) -> DataFrame:
+def term_counts(placed: DataFrame, stop_words: Sequence[str] = ENGLISH_STOP_WORDS) -> DataFrame:
     """(id, term, tf) of the words and word pairs in `tags`; pairs skip over stop words.
 
     Words have two letters or more. With documents placed by id, counting the
     terms of a document needs no further shuffle.
     """
-    if stop_words is None:
-        stop_words = StopWordsRemover.loadDefaultStopWords("english")
     found = F.regexp_extract_all(F.lower(F.col("tags")), F.lit(r"(?U)\b\w\w+\b"), F.lit(0))
     words = F.filter(found, lambda w: ~w.isin(list(stop_words))) if stop_words else found
     one = F.col("_words")
@@ -79,15 +75,9 @@ def vocabulary(counts: DataFrame, placed: DataFrame, max_features: int = 10_000,
     )
 
 
-def weigh(counts: DataFrame, terms: DataFrame, max_features: int = 10_000) -> DataFrame:
-    """(id, term, weight): (1 + ln tf) * idf, scaled to length 1 per document.
-
-    The vocabulary is broadcast only while its size parameter bounds it.
-    """
-    known = terms.select("term", "idf")
-    if max_features <= BROADCAST_TERMS:
-        known = F.broadcast(known)
-    raw = counts.join(known, "term").select(
+def weigh(counts: DataFrame, terms: DataFrame) -> DataFrame:
+    """(id, term, weight): (1 + ln tf) * idf, scaled to length 1 per document."""
+    raw = counts.join(terms.select("term", "idf"), "term").select(
         "id", "term", ((F.lit(1.0) + F.ln(F.col("tf").cast("double"))) * F.col("idf")).alias("w")
     )
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("id")))
@@ -95,12 +85,12 @@ def weigh(counts: DataFrame, terms: DataFrame, max_features: int = 10_000) -> Da
 
 
 def tfidf(
-    docs: DataFrame, stop_words: Sequence[str] | None = None, max_features: int = 10_000, min_df: int = 1
+    docs: DataFrame, stop_words: Sequence[str] = ENGLISH_STOP_WORDS, max_features: int = 10_000, min_df: int = 1
 ) -> DataFrame:
     """Weights of every document (`id`, `tags`)."""
     placed = place_by_id(docs)
     counts = term_counts(placed, stop_words)
-    return weigh(counts, vocabulary(counts, placed, max_features, min_df), max_features)
+    return weigh(counts, vocabulary(counts, placed, max_features, min_df))
 
 
 def title_index(catalogue: DataFrame) -> DataFrame:

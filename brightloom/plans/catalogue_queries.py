@@ -2,28 +2,16 @@
 
 from __future__ import annotations
 
-import zipfile
-from functools import cache
-from pathlib import Path
-
-import pyspark
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from brightloom.functions.words import ENGLISH_STOP_WORDS
 from brightloom.operators import catalogue, quality, similarity
 from brightloom.plans.sqltext import with_ctes
 from brightloom.sources import views
 
 
-@cache
-def stop_words() -> list[str]:
-    """Spark ML's English stop words, read from its jar so that the SQL text needs no session."""
-    jar = next(Path(pyspark.__file__).parent.glob("jars/spark-mllib_*.jar"))
-    with zipfile.ZipFile(jar) as archive:
-        return archive.read("org/apache/spark/ml/feature/stopwords/english.txt").decode().split()
-
-
 def clean_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalogue.clean_catalogue(views.raw_catalogue(spark, sf_dir))
 
@@ -72,7 +60,7 @@ def _docs(cleaned: DataFrame) -> DataFrame:
 
 
 def tfidf_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    weights = similarity.tfidf(_docs(clean_documents(spark, sf_dir)), stop_words())
+    weights = similarity.tfidf(_docs(clean_documents(spark, sf_dir)))
     return weights.select("id", "term", F.round("weight", 6).alias("weight"))
 
 
@@ -87,7 +75,7 @@ def _recommend(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
     # from the tables when an executor is lost.
     cleaned = clean_documents(spark, sf_dir).drop(*[f"clean_{c}" for c in catalogue.TEXT_COLUMNS])
     cleaned = cleaned.persist(StorageLevel.MEMORY_AND_DISK)
-    weights = similarity.tfidf(_docs(cleaned), stop_words()).persist(StorageLevel.MEMORY_AND_DISK)
+    weights = similarity.tfidf(_docs(cleaned)).persist(StorageLevel.MEMORY_AND_DISK)
     queries = similarity.resolve_titles(cleaned, _liked(cleaned))
     return similarity.recommend(cleaned, weights, queries, **options)
 
@@ -131,7 +119,7 @@ parts AS (SELECT p_partkey AS movie_id, p_name AS title, p_type || '|' || p_bran
 
 
 def _tfidf_ctes() -> str:
-    listed = ", ".join("'" + w.replace("'", "''") + "'" for w in stop_words())
+    listed = ", ".join("'" + w.replace("'", "''") + "'" for w in ENGLISH_STOP_WORDS)
     return _CLEAN + rf""",
 words AS (
   SELECT movie_id AS id, list_filter(regexp_extract_all(lower(tags), '[\p{{L}}\p{{M}}\p{{N}}_]{{2,}}'),

@@ -7,6 +7,7 @@ from collections import Counter
 import pytest
 
 from brightloom.functions import text
+from brightloom.functions.words import ENGLISH_STOP_WORDS
 from brightloom.operators import similarity
 
 STOP = ["the", "of"]
@@ -114,10 +115,8 @@ def test_shared_terms_order(one):
     assert got == ["long", "Zz", "aa", "bb", "q"]
 
 
-def test_stop_words_of_the_check_sql(spark):
+def test_stop_words_are_those_of_spark(spark):
     from pyspark.ml.feature import StopWordsRemover
 
-    from brightloom.plans.catalogue_queries import stop_words
-
-    assert sorted(stop_words()) == sorted(StopWordsRemover.loadDefaultStopWords("english"))
+    assert list(ENGLISH_STOP_WORDS) == StopWordsRemover.loadDefaultStopWords("english")
     assert text.header_key(" Vote-Average ") == "vote_average"
