@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -29,21 +27,18 @@ def build_session(master: str | None = None, app: str = "brightloom", **conf: st
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder of the session.
 
-    The cluster names it in `spark.checkpoint.dir`. Only when that is unset
-    (tests, a laptop) is a fresh local folder made.
+    The cluster names it in `spark.checkpoint.dir`. Where that is unset (tests,
+    a laptop) it is a folder below the warehouse, which all executors share too.
     """
     context = spark.sparkContext
-    configured = context.getConf().get("spark.checkpoint.dir")
-    if configured:
-        if not context.getCheckpointDir():
-            context.setCheckpointDir(configured)
-        return configured
-    current = context.getCheckpointDir()
-    if current:
-        return current
-    fresh = tempfile.mkdtemp(prefix="brightloom-checkpoint-")
-    context.setCheckpointDir(fresh)
-    return fresh
+    folder = (
+        context.getConf().get("spark.checkpoint.dir")
+        or context.getCheckpointDir()
+        or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/checkpoints"
+    )
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(folder)
+    return folder
 
 
 def checkpointed(df: DataFrame) -> DataFrame:

@@ -10,10 +10,11 @@ from brightloom.session import build_session
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "local[8]", "tests", spark__sql__shuffle__partitions="4", spark__ui__enabled="false",
         spark__driver__memory="6g", spark__ui__showConsoleProgress="false",
+        spark__checkpoint__dir=f"file://{tmp_path_factory.mktemp('shared')}",
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
