@@ -5,13 +5,17 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from brightloom.llm import bpe, simhash, tokenfile
+from brightloom.llm import bpe, simhash, tokenfile, vectors
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op3_vector_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.round_trip(_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -26,6 +30,7 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 PLANS = {
+    "op3_vector_duplicates": (op3_vector_duplicates, None),
     "op5_token_files": (op5_token_files, None),
     "op6_byte_bpe": (op6_byte_bpe, None),
     "op9_simhash": (op9_simhash, None),
