@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from brightloom.llm import bpe, simhash, tokenfile, vectors
+from brightloom.llm import bpe, mixing, simhash, tokenfile, vectors
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,9 +29,14 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_documents(spark, sf_dir))
 
 
+def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_counts(_documents(spark, sf_dir))
+
+
 PLANS = {
     "op3_vector_duplicates": (op3_vector_duplicates, None),
     "op5_token_files": (op5_token_files, None),
     "op6_byte_bpe": (op6_byte_bpe, None),
     "op9_simhash": (op9_simhash, None),
+    "op10_mix_sources": (op10_mix_sources, mixing.COUNTS_SQL),
 }
