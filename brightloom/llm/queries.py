@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from brightloom.llm import bpe, mixing, simhash, tokenfile, vectors
+from brightloom.llm import bpe, mixing, quality, simhash, tokenfile, vectors
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,6 +16,10 @@ def op3_vector_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judged(_documents(spark, sf_dir))
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.round_trip(_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -35,6 +39,7 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 PLANS = {
     "op3_vector_duplicates": (op3_vector_duplicates, None),
+    "op4_quality_rules": (op4_quality_rules, quality.JUDGED_SQL),
     "op5_token_files": (op5_token_files, None),
     "op6_byte_bpe": (op6_byte_bpe, None),
     "op9_simhash": (op9_simhash, None),

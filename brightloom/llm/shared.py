@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -34,6 +35,11 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` of a value that is worked out once, also where the body uses it for every element of an array."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def words(text: Column) -> Column:
     """The words of a text, in order; null has none."""
     spaced = F.translate(F.coalesce(text, F.lit("")), BLANKS[1:], " " * (len(BLANKS) - 1))
