@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from brightloom.llm import bpe, mixing, quality, simhash, tokenfile, vectors
+from brightloom.llm import bpe, mixing, quality, simhash, templates, tokenfile, vectors
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,6 +29,10 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(_documents(spark, sf_dir), ranks, public_tokenizers.PATTERN)
 
 
+def op8_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return templates.dedup_lines(_documents(spark, sf_dir), counts=True)
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_documents(spark, sf_dir))
 
@@ -42,6 +46,7 @@ PLANS = {
     "op4_quality_rules": (op4_quality_rules, quality.JUDGED_SQL),
     "op5_token_files": (op5_token_files, None),
     "op6_byte_bpe": (op6_byte_bpe, None),
+    "op8_line_templates": (op8_line_templates, None),
     "op9_simhash": (op9_simhash, None),
     "op10_mix_sources": (op10_mix_sources, mixing.COUNTS_SQL),
 }
