@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from brightloom.llm import bpe, mixing, quality, secrets, simhash, templates, tokenfile, vectors
+from brightloom.llm import bpe, mixing, personal, quality, secrets, simhash, templates, tokenfile, vectors
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,6 +16,10 @@ def op1_secret_owners(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(_documents(spark, sf_dir))
 
 
+def op2_personal_contexts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal.scan(_documents(spark, sf_dir))
+
+
 def op3_vector_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
@@ -47,6 +51,7 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 PLANS = {
     "op1_secret_owners": (op1_secret_owners, None),
+    "op2_personal_contexts": (op2_personal_contexts, None),
     "op3_vector_duplicates": (op3_vector_duplicates, None),
     "op4_quality_rules": (op4_quality_rules, quality.JUDGED_SQL),
     "op5_token_files": (op5_token_files, None),
