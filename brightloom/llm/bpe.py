@@ -238,6 +238,24 @@ def encode(
     return out.select("_doc.*", F.col("_ids").alias(ids))
 
 
+def decode(
+    encoded: DataFrame, ranks_path: str, pattern: str, ids: str = "ids", decoded: str = "decoded", remembered: int = 500_000
+) -> DataFrame:
+    """`encoded` with a binary column `decoded`, the bytes of its ids (null ids: none)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = text_encoder(ranks_path, pattern, remembered)
+        for batch in batches:
+            found = [encoder.decode(np.array(v.as_py() or [], np.int64)) for v in batch.column("_ids")]
+            yield pa.RecordBatch.from_arrays([batch.column("_doc"), pa.array(found, pa.binary())], names=["_doc", "_decoded"])
+
+    kept = [c for c in encoded.columns if c != decoded]
+    packed = encoded.select(F.struct(*kept).alias("_doc"), F.col(ids).alias("_ids"))
+    kind = packed.schema["_doc"].dataType.simpleString()
+    out = packed.mapInArrow(run, f"_doc {kind}, _decoded binary")
+    return out.select("_doc.*", F.col("_decoded").alias(decoded))
+
+
 def encode_digests(
     docs: DataFrame, ranks_path: str, pattern: str, doc_id: str = "doc_id", text: str = "text",
     remembered: int = 500_000,

@@ -5,6 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from brightloom.llm import bpe, mixing, personal, quality, secrets, simhash, templates, tokenfile, vectors
 
 
@@ -59,4 +60,5 @@ PLANS = {
     "op8_line_templates": (op8_line_templates, None),
     "op9_simhash": (op9_simhash, None),
     "op10_mix_sources": (op10_mix_sources, mixing.COUNTS_SQL),
+    "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 }
