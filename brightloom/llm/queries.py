@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from brightloom.llm import bpe, mixing, personal, quality, secrets, simhash, templates, tokenfile, vectors
+from brightloom.llm import bpe, mixing, personal, quality, secrets, simhash, substrings, templates, tokenfile, vectors
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,6 +38,10 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(_documents(spark, sf_dir), ranks, public_tokenizers.PATTERN)
 
 
+def op7_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeats(_documents(spark, sf_dir)).drop("kept")
+
+
 def op8_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return templates.dedup_lines(_documents(spark, sf_dir), counts=True)
 
@@ -57,6 +61,7 @@ PLANS = {
     "op4_quality_rules": (op4_quality_rules, quality.JUDGED_SQL),
     "op5_token_files": (op5_token_files, None),
     "op6_byte_bpe": (op6_byte_bpe, None),
+    "op7_repeated_bytes": (op7_repeated_bytes, None),
     "op8_line_templates": (op8_line_templates, None),
     "op9_simhash": (op9_simhash, None),
     "op10_mix_sources": (op10_mix_sources, mixing.COUNTS_SQL),
