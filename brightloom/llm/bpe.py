@@ -218,28 +218,41 @@ def text_encoder(ranks_path: str, pattern: str, remembered: int) -> TextEncoder:
 
 
 def encode(
-    docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", ids: str = "ids", remembered: int = 500_000
+    docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", ids: str = "ids",
+    decoded_sha256: str | None = None, remembered: int = 250_000,
 ) -> DataFrame:
-    """`docs` with a column `ids` array<int>, the ids of each whole text (null text: none)."""
+    """`docs` with a column `ids` array<int>, the ids of each whole text (null text: none).
+
+    `decoded_sha256` names one more column, the digest of the bytes that the ids decode to.
+    """
+    added = [c for c in (ids, decoded_sha256) if c]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = text_encoder(ranks_path, pattern, remembered)
         for batch in batches:
-            found = [encoder.encode(t.as_py() or "").astype("i4") for t in batch.column("_text")]
-            column = pa.ListArray.from_arrays(
-                np.cumsum([0, *map(len, found)]).astype("i4"), np.concatenate([np.zeros(0, "i4"), *found])
-            )
-            yield pa.RecordBatch.from_arrays([batch.column("_doc"), column], names=["_doc", "_ids"])
-
-    kept = [c for c in docs.columns if c != ids]
-    packed = docs.select(F.struct(*kept).alias("_doc"), F.col(text).alias("_text"))
+            found = [encoder.encode(t.as_py() or "") for t in batch.column("_text")]
+            arrays = [
+                pa.ListArray.from_arrays(
+                    np.cumsum([0, *map(len, found)]).astype("i4"), np.concatenate([np.zeros(0, "u4"), *found]).astype("i4")
+                )
+            ]
+            if decoded_sha256:
+                arrays.append(pa.array([hashlib.sha256(encoder.decode(f)).hexdigest() for f in found], pa.string()))
+            names = ["_doc", "_text", "_ids", "_sha"][: 2 + len(arrays)]
+            yield pa.RecordBatch.from_arrays([batch.column("_doc"), batch.column("_text"), *arrays], names=names)
+
+    # The text goes to Python once, beside a struct of the other columns.
+    kept = [c for c in docs.columns if c not in added]
+    rest = F.struct(F.lit(0).alias("_none"), *[c for c in kept if c != text])
+    packed = docs.select(rest.alias("_doc"), F.col(text).alias("_text"))
     kind = packed.schema["_doc"].dataType.simpleString()
-    out = packed.mapInArrow(run, f"_doc {kind}, _ids array<int>")
-    return out.select("_doc.*", F.col("_ids").alias(ids))
+    out = packed.mapInArrow(run, f"_doc {kind}, _text string, _ids array<int>" + ", _sha string" * bool(decoded_sha256))
+    columns = [F.col("_text" if c == text else f"_doc.{c}").alias(c) for c in kept]
+    return out.select(*columns, *[F.col(n).alias(c) for n, c in zip(("_ids", "_sha"), added)])
 
 
 def decode(
-    encoded: DataFrame, ranks_path: str, pattern: str, ids: str = "ids", decoded: str = "decoded", remembered: int = 500_000
+    encoded: DataFrame, ranks_path: str, pattern: str, ids: str = "ids", decoded: str = "decoded", remembered: int = 250_000
 ) -> DataFrame:
     """`encoded` with a binary column `decoded`, the bytes of its ids (null ids: none)."""
 
