@@ -129,8 +129,9 @@ def cluster_profile(clustered: DataFrame) -> DataFrame:
 
 
 def attach_segments(clustered: DataFrame, profile: DataFrame) -> DataFrame:
-    """Segment name per customer. The profile has one row per cluster (k is at most a few)."""
-    return clustered.join(profile.select("Cluster", "Segment"), "Cluster", "left")
+    """Segment name per customer, looked up in a map of the few clusters."""
+    names = profile.agg(F.map_from_entries(F.collect_list(F.struct("Cluster", "Segment")))).scalar()
+    return clustered.withColumn("Segment", F.try_element_at(names, F.col("Cluster")))
 
 
 def segment_actions(profile: DataFrame) -> DataFrame:

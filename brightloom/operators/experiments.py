@@ -143,10 +143,12 @@ def assign_experiment_ids(definitions: DataFrame) -> DataFrame:
 
 
 def create_experiments(definitions: DataFrame, prompts: DataFrame, cases: DataFrame) -> DataFrame:
-    """The definitions, if no experiment, prompt or test case has an error; else fails with the first 20."""
-    broken = experiment_errors(definitions, prompts, cases).limit(20).collect()
+    """The definitions, if no experiment, prompt or test case has an error; else fails with the first 20 and the number of others."""
+    errors = experiment_errors(definitions, prompts, cases)
+    broken = errors.limit(20).collect()
     if broken:
-        raise ValueError("\n".join(row["error"] for row in broken))
+        more = errors.count() - len(broken)
+        raise ValueError("\n".join([*(row["error"] for row in broken), *([f"and {more} more"] if more else [])]))
     return definitions
 
 

@@ -198,10 +198,13 @@ def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         F.min(value).alias("min"),
         F.max(value).alias("max"),
     )
+    # The means of the few columns are one map, so the frequencies are not placed by column to meet them.
+    means = moments.agg(F.map_from_entries(F.collect_list(F.struct("column", "mean")))).scalar()
+    away = value - F.col("mean")
     spread = (
-        counts.join(moments.select("column", "mean"), "column")
+        counts.withColumn("mean", F.element_at(means, F.col("column")))
         .groupBy("column")
-        .agg((F.sum(n * (value - F.col("mean")) * (value - F.col("mean"))).alias("squares")))
+        .agg(F.sum(n * away * away).alias("squares"))
     )
     quartiles = quantiles_of_frequencies(counts, [0.25, 0.5, 0.75]).select(
         "column",

@@ -286,13 +286,13 @@ answered AS (SELECT conv_id, turn - 1 AS turn, text AS answer FROM conversations
 responses AS (
   SELECT 'exp-' || conv_id % 5 AS experiment_id, 'prompt-' || conv_id % 3 AS prompt_id, 'case-' || turn % 3 AS test_case_id,
     conv_id AS run_number, conv_id * 100 + turn AS seq, prompt_text,
-    CASE WHEN length(answer) % 11 = 0 THEN ' '
+    coalesce(CASE WHEN length(answer) % 11 = 0 THEN ' '
          WHEN turn % 3 = 2 THEN 'json: {"answer": "' || regexp_replace(answer, '["\\\n]', ' ', 'g') || '", "words": '
               || CASE WHEN length(answer) % 2 = 0 THEN CAST(length(answer) AS VARCHAR) ELSE 'null' END || '}'
-         ELSE replace(answer, chr(10), chr(10) || '- ') END AS response,
-    length(answer) % 500 / 1000 AS latency_seconds, length(prompt_text) AS input_tokens,
+         ELSE replace(answer, chr(10), chr(10) || '- ') END, '') AS response,
+    coalesce(length(answer) % 500 / 1000, 0) AS latency_seconds, length(prompt_text) AS input_tokens,
     CASE WHEN length(answer) % 7 <> 0 THEN length(answer) END AS output_tokens
-  FROM asked JOIN answered USING (conv_id, turn)),
+  FROM asked LEFT JOIN answered USING (conv_id, turn)),
 records AS (
   SELECT *, regexp_matches(response, '\S') AS success, len(regexp_extract_all(response, '\S+')) AS words,
     input_tokens / 1000 * 0.5 + output_tokens / 1000 * 1.5 AS cost FROM responses)"""

@@ -13,6 +13,7 @@ from brightloom.plans.sqltext import with_ctes
 from brightloom.session import ensure_checkpoint_dir
 from brightloom.sources import io, views
 
+# The class names.
 CLASS_NAMES = {0: "Malignant", 1: "Benign"}
 VECTOR_SIZE = 64
 
@@ -58,11 +59,11 @@ def _labelled_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def cluster_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     labelled = _labelled_vectors(spark, sf_dir)
-    exact = clusters.silhouette_exact(labelled, "id", labelled.count())
-    joined = exact.withColumn("davies_bouldin", clusters.davies_bouldin(labelled).scalar()).withColumn(
-        "inertia", clusters.inertia(labelled).scalar()
-    )
-    return joined.select(*[F.round(c, 5).alias(c) for c in ("silhouette_exact", "davies_bouldin", "inertia")])
+    silhouette = F.lit(float(clusters.silhouette_squared(labelled))).alias("silhouette_sq")
+    joined = clusters.davies_bouldin(labelled).select(
+        silhouette, F.col("davies_bouldin_score").alias("davies_bouldin")
+    ).withColumn("inertia", clusters.inertia(labelled).scalar())
+    return joined.select(*[F.round(c, 5).alias(c) for c in ("silhouette_sq", "davies_bouldin", "inertia")])
 
 
 def scaled_features(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,19 +92,22 @@ def stratified_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
 def kmeans_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, features, rows = clusters.prepare(rfm_table(spark, sf_dir))
     records, _ = clusters.sweep(features, rows)
+    features.unpersist()
     return spark.createDataFrame(records).orderBy(F.desc("silhouette_score"), "k")
 
 
 def kmeans_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Segments of all customers from the fitted model, saved and loaded again."""
-    scaling, features, _ = clusters.prepare(rfm_table(spark, sf_dir))
-    kmeans, _ = clusters.best_kmeans(features, 4, restarts=5)
+    """Segments of all customers from the model of the best k, saved and loaded again."""
+    scaling, features, rows = clusters.prepare(rfm_table(spark, sf_dir))
+    records, fitted = clusters.sweep(features, rows)
+    k = clusters.best_k(records)
+    kmeans = fitted[k]
     model = clusters.segment_pipeline(scaling, kmeans)
     table = features.select("CustomerID", *customers.FEATURES)
     clustered = kmeans.transform(features).select("CustomerID", *customers.FEATURES, "Cluster")
     profile = customers.cluster_profile(clustered).select("Cluster", "Segment").collect()  # one row per cluster
     folder = _scratch(spark, "segments")
-    io.save_model(model, folder, best_k=4, features=list(customers.FEATURES))
+    io.save_model(model, folder, best_k=k, features=list(customers.FEATURES))
     loaded, _ = io.load_model(folder)
     return clusters.score_customers(loaded, table, {row["Cluster"]: row["Segment"] for row in profile})
 
@@ -129,11 +133,21 @@ def model_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
     wide, names = _wide(spark, sf_dir)
     split = models.stratified_split(wide, "id", "label")
     train = split.filter(~F.col("is_test")).drop("is_test")
-    table = models.comparison_table(models.cross_validate(train, "id", names, trees=100))
+    table = models.comparison_table(models.cross_validate(train, "id", names))
     return models.melted_comparison(table)
 
 
+def best_model_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Test metrics of the model that cross-validation ranks first."""
+    wide, names = _wide(spark, sf_dir)
+    split = models.stratified_split(wide, "id", "label")
+    train, test = split.filter(~F.col("is_test")).drop("is_test"), split.filter("is_test").drop("is_test")
+    name, model = models.fit_best(train, "id", names)
+    return models.test_metrics(models.scored(model, test, ["label"])).withColumn("model", F.lit(name))
+
+
 def best_model_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Test metrics of the logistic regression."""
     model, test, _ = _fitted(spark, sf_dir)
     return models.test_metrics(models.scored(model, test, ["label"]))
 
@@ -204,7 +218,7 @@ v AS (SELECT vec_id AS id, label AS c, CAST(embedding AS DOUBLE[]) AS x FROM emb
 cent AS (SELECT c, list(m ORDER BY i) AS m FROM (
   SELECT c, i, avg(val) AS m FROM (SELECT c, unnest(x) AS val, unnest(range(1, 65)) AS i FROM v) GROUP BY c, i) GROUP BY c),
 sizes AS (SELECT c, count(*) AS n FROM v GROUP BY c),
-sums AS (SELECT a.id, a.c, b.c AS o, sum(list_distance(a.x, b.x)) AS t FROM v a, v b GROUP BY 1, 2, 3),
+sums AS (SELECT a.id, a.c, b.c AS o, sum(list_distance(a.x, b.x) ** 2) AS t FROM v a, v b GROUP BY 1, 2, 3),
 ab AS (
   SELECT id, sums.c, max(CASE WHEN o = sums.c THEN t / nullif(n - 1, 0) END) AS a, min(CASE WHEN o <> sums.c THEN t / n END) AS b
   FROM sums JOIN sizes ON sizes.c = o GROUP BY 1, 2),
@@ -274,14 +288,15 @@ PLANS = {
         with_ctes(
             _LINES,
             """SELECT flag, score AS threshold, coalesce(round((tn - cn + neg) / nullif(tn, 0), 6), 0) AS fpr,
-              coalesce(round((tp - cp + pos) / nullif(tp, 0), 6), 0) AS tpr FROM run""",
+              coalesce(round((tp - cp + pos) / nullif(tp, 0), 6), 0) AS tpr FROM run
+            UNION ALL SELECT DISTINCT flag, CAST('Infinity' AS DOUBLE), 0, 0 FROM lines""",
         ),
     ),
     "cluster_quality": (
         cluster_quality,
         with_ctes(
             _VEC,
-            """SELECT (SELECT round(avg(coalesce((b - a) / greatest(a, b), 0)), 5) FROM ab) AS silhouette_exact,
+            """SELECT (SELECT round(avg(coalesce((b - a) / greatest(a, b), 0)), 5) FROM ab) AS silhouette_sq,
               (SELECT round(avg(ratio), 5) FROM worst) AS davies_bouldin, (SELECT round(sum(q), 5) FROM spread) AS inertia""",
         ),
     ),
@@ -302,11 +317,15 @@ PLANS = {
             "SELECT id, label, n <= quota AS is_test FROM numbered JOIN quotas USING (label)",
         ),
     ),
-    "stratified_folds": (stratified_folds, with_ctes(_NUMBERED, "SELECT id, label, (n - 1) % 5 AS fold FROM numbered")),
+    "stratified_folds": (stratified_folds, with_ctes(
+        _NUMBERED,
+        "SELECT id, label, (n - 1 + (SELECT count(*) FROM f WHERE f.label < numbered.label)) % 5 AS fold FROM numbered",
+    )),
     "kmeans_sweep": (kmeans_sweep, None),
     "kmeans_score": (kmeans_score, None),
     "pca_2d": (pca_2d, None),
     "model_compare": (model_compare, None),
+    "best_model_choice": (best_model_choice, None),
     "best_model_scores": (best_model_scores, None),
     "permutation_importance": (permutation_importance, None),
     "batch_predict": (batch_predict, None),
@@ -328,8 +347,8 @@ PLANS = {
         """
         WITH r AS (
           SELECT 'exp-' || u.conv_id % 5 AS experiment_id, 'prompt-' || u.conv_id % 3 AS prompt_id
-          FROM conversations u JOIN conversations a ON u.conv_id = a.conv_id AND a.turn = u.turn + 1
-          WHERE u.role = 'user' AND a.role = 'assistant')
+          FROM conversations u LEFT JOIN conversations a ON u.conv_id = a.conv_id AND a.turn = u.turn + 1 AND a.role = 'assistant'
+          WHERE u.role = 'user')
         SELECT experiment_id, CASE WHEN experiment_id IN ('exp-1', 'exp-2') THEN 'again' ELSE prompt_id END AS prompt_id, count(*) AS n
         FROM r GROUP BY 1, 2""",
     ),

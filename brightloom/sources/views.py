@@ -120,15 +120,16 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(case == 2, as_json)
         .otherwise(F.replace(F.col("answer"), F.lit("\n"), F.lit("\n- ")))
     )
-    return asked.join(answered, ["conv_id", "turn"]).select(
+    # A turn without an answer is a failed request: an empty response, no time and no output.
+    return asked.join(answered, ["conv_id", "turn"], "left").select(
         F.concat(F.lit("exp-"), (F.col("conv_id") % 5).cast("string")).alias("experiment_id"),
         F.concat(F.lit("prompt-"), (F.col("conv_id") % 3).cast("string")).alias("prompt_id"),
         F.concat(F.lit("case-"), case.cast("string")).alias("test_case_id"),
         F.col("conv_id").alias("run_number"),
         (F.col("conv_id") * 100 + F.col("turn")).alias("seq"),
         "prompt_text",
-        response.alias("response"),
-        ((F.length("answer") % 500).cast("double") / 1000).alias("latency_seconds"),
+        F.coalesce(response, F.lit("")).alias("response"),
+        F.coalesce((F.length("answer") % 500).cast("double") / 1000, F.lit(0.0)).alias("latency_seconds"),
         F.length("prompt_text").cast("int").alias("input_tokens"),
         F.when(F.length("answer") % 7 != 0, F.length("answer")).cast("int").alias("output_tokens"),
     )

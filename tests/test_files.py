@@ -11,7 +11,7 @@ from brightloom.streaming import files
 def test_csv_round_trip(spark, tmp_path):
     df = spark.createDataFrame([("1", 'a "quoted"\nline', [1])], "CustomerID string, note string, listed array<int>")
     io.write_csv(df, str(tmp_path / "csv"))
-    back = io.read_csv(spark, str(tmp_path / "csv"))
+    back = io.read_csv(spark, str(tmp_path / "csv"), multiline=True)
     assert back.columns == ["CustomerID", "note"] and back.first()["note"] == 'a "quoted"\nline'
     with pytest.raises(ValueError, match=r"\['InvoiceDate', 'Quantity', 'UnitPrice'\]"):
         io.read_transactions(spark, str(tmp_path / "csv"))
@@ -28,15 +28,15 @@ def test_responses_csv(spark, tmp_path):
     assert io.read_csv(spark, str(tmp_path / "csv")).columns == list(io.RESPONSE_COLUMNS)
 
 
-def test_nested_export_in_parts(spark, tmp_path):
+def test_experiment_export(spark, tmp_path):
     experiments = spark.createDataFrame([("e", "n"), ("f", "m")], "experiment_id string, name string")
-    prompts = spark.createDataFrame([("e", 0, "p")], "experiment_id string, seq long, prompt_id string")
     results = spark.createDataFrame([("e", i, f"r{i}") for i in range(7)], "experiment_id string, seq long, response string")
-    nested = io.nest_experiments(experiments, {"prompts": (prompts, "seq"), "results": (results, "seq")}, part_rows=3)
-    io.write_json(nested, str(tmp_path / "json"))
-    rows = spark.read.schema(nested.schema).json(str(tmp_path / "json")).orderBy("experiment_id", "part").collect()
-    assert [(r["experiment_id"], r["part"], len(r["results"] or [])) for r in rows] == [("e", 0, 3), ("e", 1, 3), ("e", 2, 1), ("f", 0, 0)]
-    assert [x["response"] for x in rows[1]["results"]] == ["r3", "r4", "r5"]
+    io.write_experiments(experiments, {"results": results}, str(tmp_path / "json"))
+    back = spark.read.schema(results.schema).json(str(tmp_path / "json" / "results"))
+    assert sorted(back.collect()) == sorted(results.collect())
+    assert spark.read.json(str(tmp_path / "json" / "experiments")).count() == 2
+    with pytest.raises(ValueError):
+        io.write_experiments(experiments, {"other": spark.range(1)}, str(tmp_path / "more"))
 
 
 def test_stateless_operators_on_a_file_stream(spark, tmp_path):
