@@ -13,6 +13,7 @@ from brightloom.plans.sqltext import with_ctes
 from brightloom.sources import views
 
 CONFIG = ModelConfig(input_cost_per_1k=0.5, output_cost_per_1k=1.5)
+# The eight weights.
 WEIGHTS = {
     "relevance": 1.2, "accuracy": 1.2, "clarity": 1.0, "completeness": 1.0,
     "instruction_following": 1.2, "format_compliance": 1.0, "safety": 0.5, "conciseness": 0.8,
@@ -113,6 +114,43 @@ def row_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return experiments.experiment_errors(definitions, prompts, cases)
 
 
+def _order_prompts(orders: DataFrame) -> DataFrame:
+    return orders.select(
+        F.col("o_orderkey").cast("string").alias("prompt_id"), F.col("o_orderpriority").alias("name"),
+        F.when(F.col("o_orderstatus") == "P", "").otherwise("Say {x}").alias("text"),
+        (F.col("o_totalprice") / 200000).alias("temperature"),
+        F.when(F.col("o_orderstatus") == "F", F.lit(-1)).cast("int").alias("max_tokens"),
+    )
+
+
+def prompt_library(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders added to a library of the even ones: valid ones join or replace; the smallest even one is looked up."""
+    orders = views.table(spark, sf_dir, "orders")
+    even = orders.filter(F.col("o_orderkey") % 2 == 0)
+    library, _ = experiments.add_prompts(_order_prompts(even).withColumn("name", F.lit("old")), _order_prompts(orders))
+    first = even.agg(F.min("o_orderkey")).first()[0]
+    found = experiments.get_prompt(library, str(first)).select("prompt_id", F.lit(True).alias("found"))
+    return library.join(found, "prompt_id", "left").select(
+        "prompt_id", "name", "text", F.coalesce("found", F.lit(False)).alias("found")
+    )
+
+
+def experiments_created(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One experiment per customer with valid prompts and cases; creation fails if any has an error."""
+    customers = views.table(spark, sf_dir, "customer")
+    key = F.concat(F.lit("exp-"), F.col("c_custkey").cast("string")).alias("experiment_id")
+    runs = F.when(F.col("c_nationkey") % 3 > 0, F.col("c_nationkey") % 3).alias("runs_per_case")
+    definitions = experiments.assign_experiment_ids(
+        customers.select(key, F.col("c_name").alias("name"), runs, F.lit(None).cast("boolean").alias("blind_evaluation"))
+    )
+    prompts = customers.select(
+        key, F.lit("p").alias("prompt_id"), F.col("c_mktsegment").alias("name"), F.lit("Say {x}").alias("text"),
+        F.lit(0.5).alias("temperature"), F.lit(100).alias("max_tokens"),
+    )
+    cases = views.experiment_cases(spark, sf_dir).withColumn("min_words", F.lit(None).cast("int"))
+    return experiments.create_experiments(definitions, prompts, cases).withColumn("runs_per_case", F.col("runs_per_case").cast("long"))
+
+
 def experiment_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as prompts and events as cases of one experiment per customer number."""
     prompts = views.busy_table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("experiment_id"))
@@ -373,6 +411,22 @@ keyed AS (
   FROM grid)"""
 
 PLANS = {
+    "prompt_library": (
+        prompt_library,
+        """
+        WITH p AS (
+          SELECT o_orderkey AS k, CAST(o_orderkey AS VARCHAR) AS prompt_id, o_orderpriority AS name,
+            CASE WHEN o_orderstatus = 'P' THEN '' ELSE 'Say {x}' END AS text,
+            o_orderstatus = 'O' AND o_totalprice / 200000 BETWEEN 0 AND 2 AS valid FROM orders)
+        SELECT prompt_id, CASE WHEN valid THEN name ELSE 'old' END AS name, text,
+          k = (SELECT min(k) FROM p WHERE k % 2 = 0) AS found
+        FROM p WHERE valid OR k % 2 = 0""",
+    ),
+    "experiments_created": (
+        experiments_created,
+        """SELECT 'exp-' || c_custkey AS experiment_id, c_name AS name,
+          CAST(greatest(1, c_nationkey % 3) AS BIGINT) AS runs_per_case, false AS blind_evaluation FROM customer""",
+    ),
     "experiment_grid": (
         experiment_grid,
         with_ctes(

@@ -81,6 +81,29 @@ def stratified_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split.select("id", F.col("label").cast("long"), "is_test")
 
 
+def split_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sizes of train and test after the check that they are disjoint and complete."""
+    whole = views.features(spark, sf_dir)
+    split = models.stratified_split(whole, "id", "label", 0.2, order=_shuffle_order())
+    models.check_split(whole, split.filter(~F.col("is_test")), split.filter("is_test"), "id")
+    return split.groupBy("is_test").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def labelled_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labelled documents as feature columns and a label, read with the declared columns only."""
+    return io.read_labelled(spark, f"{sf_dir.rstrip('/')}/labels.parquet", ["doc_id", "toxic"], "quality")
+
+
+def fallback_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A folder without data gives the caller's frame, and says so; one with data gives its rows."""
+    folder = _scratch(spark, "dataset")
+    parts = views.table(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("movie_id"), F.col("p_name").alias("title"))
+    missing, is_fallback = io.load_dataset(spark, f"{folder}/none", parts)
+    io.write_csv(parts, f"{folder}/csv")
+    found, is_other = io.load_dataset(spark, f"{folder}/csv", parts)
+    return missing.withColumn("is_fallback", F.lit(is_fallback)).unionByName(found.withColumn("is_fallback", F.lit(is_other)))
+
+
 def stratified_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
     folds = models.stratified_folds(views.features(spark, sf_dir), "id", "label", 5, order=_shuffle_order())
     return folds.select("id", F.col("label").cast("long"), F.col("fold").cast("long"))
@@ -321,6 +344,20 @@ PLANS = {
         _NUMBERED,
         "SELECT id, label, (n - 1 + (SELECT count(*) FROM f WHERE f.label < numbered.label)) % 5 AS fold FROM numbered",
     )),
+    "split_check": (
+        split_check,
+        """WITH n AS (SELECT count(*) AS n FROM embeddings)
+        SELECT true AS is_test, CAST(ceil(n * 0.2) AS BIGINT) AS rows FROM n
+        UNION ALL SELECT false, n - CAST(ceil(n * 0.2) AS BIGINT) FROM n""",
+    ),
+    "labelled_source": (
+        labelled_source,
+        "SELECT CAST(doc_id AS DOUBLE) AS doc_id, CAST(toxic AS DOUBLE) AS toxic, CAST(quality AS INT) AS label FROM labels",
+    ),
+    "fallback_dataset": (
+        fallback_dataset,
+        """SELECT CAST(p_partkey AS VARCHAR) AS movie_id, p_name AS title, unnest([true, false]) AS is_fallback FROM part""",
+    ),
     "kmeans_sweep": (kmeans_sweep, None),
     "kmeans_score": (kmeans_score, None),
     "pca_2d": (pca_2d, None),

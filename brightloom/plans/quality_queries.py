@@ -68,6 +68,19 @@ def table_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.shape(views.table(spark, sf_dir, "lineitem"))
 
 
+def type_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns of each type and their names, beside the number of rows."""
+    lines = views.table(spark, sf_dir, "lineitem")
+    kinds = F.array(*[
+        F.struct(
+            F.lit(kind).alias("type"), F.lit(n).cast("long").alias("columns"),
+            F.lit(",".join(sorted(c for c, k in lines.dtypes if k == kind))).alias("names"),
+        )
+        for kind, n in sorted(quality.type_counts(lines).items())
+    ])
+    return lines.agg(F.count(F.lit(1)).alias("rows")).select("rows", F.inline(kinds))
+
+
 def boxplot(spark: SparkSession, sf_dir: str) -> DataFrame:
     box = quality.boxplot(views.table(spark, sf_dir, "events"), "value", "event_type")
     return box.select(
@@ -126,6 +139,16 @@ PLANS = {
                round(coalesce(n, 0) * 100.0 / (SELECT sum(n) FROM counted), 4)::DOUBLE AS share
         FROM listed LEFT JOIN counted ON o_orderpriority = p""",
     ),
+    "type_counts": (
+        type_counts,
+        """
+        WITH kinds AS (
+          SELECT CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double'
+                   WHEN 'VARCHAR' THEN 'string' ELSE 'timestamp_ntz' END AS type, column_name
+          FROM (SELECT column_type AS data_type, column_name FROM (DESCRIBE lineitem)))
+        SELECT (SELECT count(*) FROM lineitem) AS rows, type, count(*) AS columns, string_agg(column_name, ',' ORDER BY column_name) AS names
+        FROM kinds GROUP BY type""",
+    ),
     "table_shape": (table_shape, "SELECT count(*) AS rows, CAST(11 AS BIGINT) AS columns FROM lineitem"),
     "boxplot": (
         boxplot,
