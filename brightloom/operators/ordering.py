@@ -2,7 +2,7 @@
 
 A window over a whole group, and `percentile`/`median`, put a group in a single
 task. A group may hold a third of all rows here, so the order is cut into value
-ranges first: approximate quantiles give the range bounds, totals per range give
+ranges, as many as the session has shuffle partitions or more, first: approximate quantiles give the range bounds, totals per range give
 where each range starts, and only inside a range is a window used. The results
 are exact; the approximate bounds only decide how evenly the work is split.
 
@@ -13,28 +13,35 @@ branches of a plan.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from math import ceil, sqrt
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# 16 x 16 ranges: a row finds its range with at most 31 comparisons.
-_SIDE = 16
-_RANGES = _SIDE * _SIDE
-_SHARES = "array(" + ", ".join(f"{k / _RANGES!r}D" for k in range(1, _RANGES)) + ")"
+# At least so many ranges, and no fewer than the session has shuffle partitions.
+LEAST_RANGES = 256
 
 
-def _with_range(df: DataFrame, order: str, counted: str | None = None) -> DataFrame:
+def _side(df: DataFrame, ranges: int | None) -> int:
+    """Ranges come as side x side, so that a row finds its own with about 2 * side comparisons."""
+    wanted = ranges or max(LEAST_RANGES, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return max(2, ceil(sqrt(wanted)))
+
+
+def _with_range(df: DataFrame, order: str, counted: str | None = None, ranges: int | None = None) -> DataFrame:
     """Add `_range`, the index of the value range that `order` falls in.
 
-    `counted` names a positive count column of an aggregated frame. Reading it in
+    The cluster's number of shuffle partitions grows with the data, and the number
+    of ranges with it; `ranges` sets another number. `counted` names a positive count column of an aggregated frame. Reading it in
     the bounds keeps the column there, so both branches share the aggregation.
     """
-    shares = F.expr(_SHARES)
+    side = _side(df, ranges)
+    shares = F.expr("array(" + ", ".join(f"{k / side / side!r}D" for k in range(1, side * side)) + ")")
     value = F.col(order).cast("double")
     sampled = F.when(F.col(counted) > 0, value) if counted else value
-    every_side = F.expr(f"transform(sequence(1, {_SIDE - 1}), k -> get(fine, k * {_SIDE} - 1))")
+    every_side = F.expr(f"transform(sequence(1, {side - 1}), k -> get(fine, k * {side} - 1))")
     bounds = (
-        df.agg(F.percentile_approx(sampled, shares, 10000).alias("fine"))
+        df.agg(F.percentile_approx(sampled, shares, max(10_000, 40 * side * side)).alias("fine"))
         .select(F.struct("fine", every_side.alias("coarse")))
         .scalar()
     )
@@ -42,11 +49,11 @@ def _with_range(df: DataFrame, order: str, counted: str | None = None) -> DataFr
     def below(array: Column) -> Column:
         return F.size(F.filter(array, lambda bound: bound < value))
 
-    fine = F.slice(F.col("_bounds.fine"), F.col("_coarse") * _SIDE + 1, F.lit(_SIDE - 1))
+    fine = F.slice(F.col("_bounds.fine"), F.col("_coarse") * side + 1, F.lit(side - 1))
     return (
         df.withColumn("_bounds", bounds)
         .withColumn("_coarse", below(F.col("_bounds.coarse")))
-        .withColumn("_range", F.coalesce(F.col("_coarse") * _SIDE + below(fine), F.lit(0)))
+        .withColumn("_range", F.coalesce(F.col("_coarse") * side + below(fine), F.lit(0)))
         .drop("_bounds", "_coarse")
     )
 
@@ -64,13 +71,14 @@ def _range_starts(ranged: DataFrame, by: Sequence[str], sums: Mapping[str, Colum
 
 
 def row_numbers(
-    df: DataFrame, order: str, by: Sequence[str] = (), name: str = "row_number", ties: Sequence[str] = ()
+    df: DataFrame, order: str, by: Sequence[str] = (), name: str = "row_number", ties: Sequence[str] = (),
+    ranges: int | None = None,
 ) -> DataFrame:
     """Add 1..n per group in the order of a numeric, nearly unique column.
 
     `ties` settles equal order values. Group keys must not be null.
     """
-    ranged = _with_range(df, order)
+    ranged = _with_range(df, order, ranges=ranges)
     starts = _range_starts(ranged, by, {"n": F.lit(1).cast("long")})
     inside = Window.partitionBy(*by, "_range").orderBy(order, *ties)
     return (
@@ -81,14 +89,14 @@ def row_numbers(
 
 
 def running_totals(
-    df: DataFrame, order: str, sums: Mapping[str, str], by: Sequence[str] = ()
+    df: DataFrame, order: str, sums: Mapping[str, str], by: Sequence[str] = (), ranges: int | None = None
 ) -> DataFrame:
     """Add running totals up to and including each row, and group totals.
 
     `order` is unique inside a group. `sums` maps an output name to a numeric
     column: output `x` is the running total and `x_total` the total of the group.
     """
-    ranged = _with_range(df, order)
+    ranged = _with_range(df, order, ranges=ranges)
     starts = _range_starts(ranged, by, {name: F.col(column) for name, column in sums.items()})
     inside = (
         Window.partitionBy(*by, "_range")
@@ -117,20 +125,22 @@ def value_frequencies(df: DataFrame, columns: Sequence[str], by: Sequence[str] =
 
 
 def exact_quantiles(
-    df: DataFrame, columns: Sequence[str], shares: Sequence[float], by: Sequence[str] = ()
+    df: DataFrame, columns: Sequence[str], shares: Sequence[float], by: Sequence[str] = (), ranges: int | None = None
 ) -> DataFrame:
     """Linear-interpolated quantiles: one row per group and `column`, array `quantiles`.
 
     Nulls and NaN are left out. Equal values are counted before anything is
     ordered, and only the value ranges that hold a wanted position are ordered.
     """
-    return quantiles_of_frequencies(value_frequencies(df, columns, by), shares, by)
+    return quantiles_of_frequencies(value_frequencies(df, columns, by), shares, by, ranges)
 
 
-def quantiles_of_frequencies(counts: DataFrame, shares: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
+def quantiles_of_frequencies(
+    counts: DataFrame, shares: Sequence[float], by: Sequence[str] = (), ranges: int | None = None
+) -> DataFrame:
     """The same from `value_frequencies`."""
     keys = [*by, "column"]
-    ranged = _with_range(counts, "value", "_n")
+    ranged = _with_range(counts, "value", "_n", ranges)
     starts = _range_starts(ranged, keys, {"n": F.col("_n")})
 
     def position(share: float) -> Column:

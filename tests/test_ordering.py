@@ -49,3 +49,13 @@ def test_quantiles(skewed):
 def test_quantiles_leave_out_nulls_and_nan(spark):
     df = spark.createDataFrame([(1.0,), (None,), (float("nan"),), (3.0,)], "x double")
     assert ordering.exact_quantiles(df, ["x"], [0.5]).first()["quantiles"] == [2.0]
+
+
+@pytest.mark.parametrize("ranges", [4, 1000])
+def test_number_of_ranges_changes_nothing(skewed, ranges):
+    frame, df = skewed
+    got = {r["g"]: r["quantiles"] for r in ordering.exact_quantiles(df, ["x"], [0.25, 0.5], ["g"], ranges=ranges).collect()}
+    for group, values in frame.groupby("g")["x"]:
+        assert np.allclose(got[group], np.quantile(values, [0.25, 0.5]))
+    numbers = ordering.row_numbers(df, "id", ["g"], ranges=ranges).toPandas().set_index("id")["row_number"].sort_index()
+    assert (numbers.to_numpy() == (frame.groupby("g").cumcount() + 1).to_numpy()).all()
