@@ -10,11 +10,14 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from brightloom.functions import maths, text
 from brightloom.operators.ordering import row_numbers
 from brightloom.session import checkpointed
 
+HISTORY_BUCKETS = 64
+
 # Validation messages and the size warning.
 PROMPT_RULES = {
     "id": "Prompt ID is required.",
@@ -369,30 +372,45 @@ def restore_labels(judged: DataFrame, labelled: DataFrame, by: str = "experiment
     return judged.join(labelled.select(by, "label", "prompt_id"), [by, "label"])
 
 
+def _bucket(experiment_id: Column) -> Column:
+    return F.pmod(F.xxhash64(experiment_id), F.lit(HISTORY_BUCKETS)).cast("int")
+
+
 def save_history(results: DataFrame, path: str) -> None:
     """Replace the stored rows of the incoming experiments, keep all others.
 
-    The table is partitioned by experiment_id and only the partitions that occur
-    in `results` are rewritten.
+    Rows lie in folders by a hash of the id, with the id as a column, so the
+    number of folders does not grow with the experiments. Only the folders that
+    `results` falls in are read and rewritten; what goes there is written to the
+    checkpoint folder first, because it comes from the files it replaces.
     """
+    incoming = checkpointed(results.withColumn("_bucket", _bucket(F.col("experiment_id"))))
+    touched = [r["_bucket"] for r in incoming.select("_bucket").distinct().collect()]  # HISTORY_BUCKETS at most
+    stored = load_history(results.sparkSession, path, incoming.schema).filter(F.col("_bucket").isin(touched))
+    kept = upsert(stored, incoming, "experiment_id").select(*incoming.columns)
     (
-        results.write.mode("overwrite")
+        checkpointed(kept).repartition("_bucket").write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("experiment_id")
+        .partitionBy("_bucket")
         .parquet(path)
     )
 
 
-def load_history(spark: SparkSession, path: str, schema) -> DataFrame:
-    """All stored rows; a path without data gives an empty frame."""
+def load_history(spark: SparkSession, path: str, schema, experiment_id: str | None = None) -> DataFrame:
+    """All stored rows, or those of one experiment from its folder; a path without data gives an empty frame."""
+    empty = spark.createDataFrame([], schema)
+    stored = [f for f in empty.schema if f.name != "_bucket"] + [StructField("_bucket", IntegerType())]
     try:
-        return spark.read.schema(schema).parquet(path)
+        rows = spark.read.schema(StructType(stored)).parquet(path)
+        if experiment_id is not None:
+            rows = rows.filter((F.col("_bucket") == _bucket(F.lit(experiment_id))) & (F.col("experiment_id") == experiment_id))
+        return rows.select(*empty.columns)
     except Exception as error:
         if "PATH_NOT_FOUND" in str(error):
-            return spark.createDataFrame([], schema)
+            return empty
         raise
 
 
 def get_history(history: DataFrame, experiment_id: str) -> DataFrame:
-    """Rows of one experiment; only its partition is read."""
+    """Rows of one experiment."""
     return history.filter(F.col("experiment_id") == experiment_id)

@@ -140,6 +140,8 @@ def test_history_cache_and_prompts(spark, tmp_path):
     stored = experiments.load_history(spark, path, schema)
     assert sorted((r["experiment_id"], r["value"]) for r in stored.collect()) == [("a", 9), ("b", 3)]
     assert experiments.get_history(stored, "zz").isEmpty()
+    one = experiments.load_history(spark, path, stored.schema, "a")
+    assert one.count() == 1 and one.columns == stored.columns
 
     entry = "cache_key string, text string, written_at long"
     cache = experiments.cache_put(spark.createDataFrame([("k", "old", 1)], entry), spark.createDataFrame([("k", "new", 2), ("l", "x", 1)], entry))
