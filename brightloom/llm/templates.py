@@ -64,9 +64,10 @@ class Leaf:
     def add(self, found: list[bytes], docs: list[bytes]) -> None:
         """Put one masked line, with its smallest documents, to the best template or a new one."""
         n = len(found)
-        row = np.array([0 if w == FIELD else xxhash.xxh64_intdigest(w) | 1 for w in found], np.uint64)
+        # Hashes are compared inside one process only.
+        row = np.array([0 if w == FIELD else hash(w) | 1 for w in found], np.int64)
         used = self.used.get(n, 0)
-        grid = self.grids.setdefault(n, np.zeros((4, n), np.uint64))
+        grid = self.grids.setdefault(n, np.zeros((4, n), np.int64))
         same = (grid[:used] == row).sum(axis=1)
         at = int(same.argmax()) if used else 0
         if used and same[at] >= self.similar * n:
@@ -142,32 +143,49 @@ def _masked_lines(docs: DataFrame, leading: int, min_docs: int, held: int) -> Da
 def _recurring(lines: DataFrame, similar: float, min_docs: int) -> DataFrame:
     """(digest, first) of the masked lines whose template recurs."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, line, docs, tree = None, None, [], Leaf(similar, min_docs)
-
-        def out(tree: Leaf) -> pa.RecordBatch:
-            found = list(tree.recurring())
-            return pa.RecordBatch.from_arrays(
-                [pa.array([f[0] for f in found], pa.binary()), pa.array([f[1] for f in found], pa.binary())], names=["digest", "first"]
-            )
-
+    def members(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, bytes, list[bytes]]]:
+        """(leaf, line, smallest documents) with equal lines as one."""
+        at, line, docs = None, None, []
         for batch in batches:
-            for r in batch.to_pylist():
-                if line is not None and (r["leaf"], r["line"]) != (at, line):
-                    tree.add(line.split(b" "), docs)
-                    docs = []
-                if r["leaf"] != at:
-                    if tree.docs:
-                        yield out(tree)
-                        tree = Leaf(similar, min_docs)
-                    at = r["leaf"]
-                line = r["line"]
-                docs += r["docs"]
-                if len(docs) > 1000:
-                    docs = sorted(set(docs))[:min_docs]
+            for leaf_id, own, own_docs in zip(*(batch.column(c).to_pylist() for c in ("leaf", "line", "docs"))):
+                if own == line and leaf_id == at:
+                    docs = sorted({*docs, *own_docs})[:min_docs]
+                    continue
+                if line is not None:
+                    yield at, line, docs
+                at, line, docs = leaf_id, own, own_docs
         if line is not None:
+            yield at, line, docs
+
+    def out(found: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array([f[0] for f in found], pa.binary()), pa.array([f[1] for f in found], pa.binary())], names=["digest", "first"]
+        )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # A leaf with one line is its own template; a tree is grown from the second line on.
+        at, single, tree, found = None, None, None, []
+
+        def closed() -> Iterator[tuple[bytes, bytes]]:
+            if tree is not None:
+                yield from tree.recurring()
+            elif single is not None and len(single[1]) >= min_docs:
+                yield digest(single[0].split(b" ")), min(single[1])
+
+        for leaf_id, line, docs in members(batches):
+            if leaf_id != at:
+                found += closed()
+                if len(found) > 10_000:
+                    yield out(found)
+                    found = []
+                at, single, tree = leaf_id, (line, docs), None
+                continue
+            if tree is None:
+                tree = Leaf(similar, min_docs)
+                tree.add(single[0].split(b" "), single[1])
             tree.add(line.split(b" "), docs)
-            yield out(tree)
+        found += closed()
+        yield out(found)
 
     placed = lines.repartition(partitions(lines.sparkSession), "leaf").sortWithinPartitions("leaf", "line")
     return placed.mapInArrow(run, "digest binary, first binary")
