@@ -154,6 +154,11 @@ def _strings(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, width: int
     return grid.reshape(-1).view(f"S{width + 1}")
 
 
+def _packed(values: np.ndarray) -> bytes:
+    """The compressed bytes of an array; most of what a bucket gets is text and small numbers."""
+    return zstandard.compress(values.tobytes(), 6)
+
+
 class _Chunk:
     """The documents of one row of the chunk table."""
 
@@ -180,7 +185,7 @@ def chunk_table(docs: DataFrame, chunk_bytes: int) -> DataFrame:
         def close() -> pa.RecordBatch:
             numbers = np.array([_NO_ID if i is None else i for i in ids], "<i8")
             lengths = np.array([len(t) for t in texts], "<i8")
-            data = zstandard.compress(b"".join(texts), 3)
+            data = zstandard.compress(b"".join(texts), 6)
             return pa.RecordBatch.from_pydict(
                 {"docs": [numbers.tobytes()], "ids": [ids], "lengths": [lengths.tobytes()], "data": [data]}, schema=schema
             )
@@ -213,18 +218,19 @@ def _repeated_anchors(chunks: DataFrame, window: int, buckets: int) -> DataFrame
                 bucket = (keys % np.uint64(buckets)).astype(np.int64)
                 order = np.argsort(bucket, kind="stable")
                 cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
-                # Six bytes of a hash: an accidental match costs a comparison, no wrong result.
+                # Six bytes of a hash: an accidental match costs a comparison, no wrong result. In order, the bytes
+                # of one rank together, the high ones are the same for many keys.
                 short = keys[order].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
                 rows = [b for b in range(buckets) if cuts[b] < cuts[b + 1]]
                 yield pa.RecordBatch.from_pydict(
                     {"bucket": pa.array(rows, pa.int32()), "chunk": pa.array([chunk.id] * len(rows), pa.int64()),
-                     "keys": pa.array([short[cuts[b] : cuts[b + 1]].tobytes() for b in rows], pa.binary())}
+                     "keys": pa.array([_packed(short[cuts[b] : cuts[b + 1]].T) for b in rows], pa.binary())}
                 )
 
     def answer(table: pa.Table) -> pa.Table:
         parts = []
         for blob in table.column("keys"):
-            short = np.frombuffer(blob.as_py(), np.uint8).reshape(-1, 6)
+            short = np.frombuffer(zstandard.decompress(blob.as_py()), np.uint8).reshape(6, -1).T
             parts.append(np.pad(short, ((0, 0), (0, 2))).reshape(-1).view("<u8"))
         every = np.sort(np.concatenate(parts))
         repeated = np.unique(every[1:][every[1:] == every[:-1]])
@@ -269,10 +275,8 @@ def _candidates(chunks: DataFrame, flags: DataFrame, window: int, buckets: int)
         target = (chunk.short[chosen][kept] % np.uint64(buckets)).astype(np.int64)
         for b in np.unique(target):
             k = kept[target == b]
-            rows.append(
-                (int(b), chunk.short[chosen][k].astype("<u8").tobytes(), doc[k].astype("<i8").tobytes(), low[k].astype("<i8").tobytes(),
-                 zstandard.compress(string[k].tobytes(), 1))
-            )
+            columns = (chunk.short[chosen][k].astype("<u8"), doc[k].astype("<i8"), low[k].astype("<i8"), string[k])
+            rows.append((int(b), *map(_packed, columns)))
         columns = list(zip(*rows))
         return pa.table(
             {"bucket": pa.array(columns[0], pa.int32()), "chunk": pa.array([chunk.id] * len(rows), pa.int64())}
@@ -287,15 +291,17 @@ def _matches(candidates: DataFrame, window: int, batch: int) -> DataFrame:
     width = 2 * window - GRAM
 
     def scan(table: pa.Table) -> pa.Table:
-        def joined(name: str, kind: str) -> np.ndarray:
-            return np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
+        def blobs(name: str) -> list[bytes]:
+            return [zstandard.decompress(b) for b in table.column(name).to_pylist()]
 
-        anchor, doc, place = joined("anchor", "<u8"), joined("doc", "<i8"), joined("place", "<i8")
-        strings = b"".join(map(zstandard.decompress, table.column("string").to_pylist()))
+        anchor, doc = (np.frombuffer(b"".join(blobs(name)), kind) for name, kind in (("anchor", "<u8"), ("doc", "<i8")))
+        places = blobs("place")
+        place = np.frombuffer(b"".join(places), "<i8")
+        strings = b"".join(blobs("string"))
         string = np.frombuffer(strings, f"S{width + 1}")
         grid = np.frombuffer(strings, np.uint8).reshape(-1, width + 1)
         sizes = grid[:, width].astype(np.int64)
-        counts = [len(p.as_py()) // 8 for p in table.column("place")]
+        counts = [len(p) // 8 for p in places]
         chunk = np.repeat(np.array(table.column("chunk").to_pylist(), np.int64), counts)
         whole = earliest(string, doc, batch) < doc
         spans = [(chunk[whole], place[whole], (place + sizes)[whole])]
