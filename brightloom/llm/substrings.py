@@ -27,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -247,7 +248,7 @@ _MATCHES = "bucket int, chunk long, anchor binary, doc binary, place binary, str
 
 
 def _candidates(chunks: DataFrame, flags: DataFrame, window: int, buckets: int) -> DataFrame:
-    """Segments with repeated anchors by bucket; with bucket -1 the (low, high) that a chunk settles itself."""
+    """Segments with repeated anchors by bucket; without anchors the (low, high) that a chunk settles itself."""
     width = 2 * window - GRAM
 
     def send(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -270,7 +271,7 @@ def _candidates(chunks: DataFrame, flags: DataFrame, window: int, buckets: int)
         string, doc = _strings(chunk.data, low, size, width), doc[chosen]
         first = earliest(string, doc, 1 << 20)
         late = first < doc
-        rows = [(-1, b"", b"", np.concatenate([low[late], (low + size)[late]]).astype("<i8").tobytes(), b"")]
+        rows = [(chunk.id % buckets, b"", b"", np.concatenate([low[late], (low + size)[late]]).astype("<i8").tobytes(), b"")]
         kept = np.flatnonzero(~late)
         target = (chunk.short[chosen][kept] % np.uint64(buckets)).astype(np.int64)
         for b in np.unique(target):
@@ -291,6 +292,12 @@ def _matches(candidates: DataFrame, window: int, batch: int) -> DataFrame:
     width = 2 * window - GRAM
 
     def scan(table: pa.Table) -> pa.Table:
+        sent = pa.array([len(a) > 0 for a in table.column("anchor").to_pylist()], pa.bool_())
+        settled = table.filter(pc.invert(sent)).select(["chunk", "place"]).rename_columns(["chunk", "spans"])
+        table = table.filter(sent)
+        if not table.num_rows:
+            return settled
+
         def blobs(name: str) -> list[bytes]:
             return [zstandard.decompress(b) for b in table.column(name).to_pylist()]
 
@@ -327,11 +334,11 @@ def _matches(candidates: DataFrame, window: int, batch: int) -> DataFrame:
             at += batch
         chunk, low, high = (np.concatenate(c) for c in zip(*spans))
         ids = np.unique(chunk)
-        blobs = [np.concatenate([low[chunk == c], high[chunk == c]]).astype("<i8").tobytes() for c in ids]
-        return pa.table({"chunk": pa.array(ids, pa.int64()), "spans": pa.array(blobs, pa.binary())})
+        pieces = [np.concatenate([low[chunk == c], high[chunk == c]]).astype("<i8").tobytes() for c in ids]
+        found = pa.table({"chunk": pa.array(ids, pa.int64()), "spans": pa.array(pieces, pa.binary())})
+        return pa.concat_tables([found, settled.cast(found.schema)])
 
-    found = candidates.filter("bucket >= 0").groupBy("bucket").applyInArrow(scan, "chunk long, spans binary")
-    return found.union(candidates.filter("bucket < 0").select("chunk", "place"))
+    return candidates.groupBy("bucket").applyInArrow(scan, "chunk long, spans binary")
 
 
 def remove_repeats(
@@ -351,7 +358,7 @@ def remove_repeats(
     buckets = partitions(docs.sparkSession)
     chunks = chunk_table(docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text")), chunk_bytes)
     flags = stored(_repeated_anchors(chunks, window, buckets), "flags")
-    candidates = stored(_candidates(chunks.drop("ids"), flags, window, buckets), "segments")
+    candidates = _candidates(chunks.drop("ids"), flags, window, buckets)
     matches = stored(_matches(candidates, window, batch), "matches")
 
     def apply(left: pa.Table, right: pa.Table) -> pa.Table:
