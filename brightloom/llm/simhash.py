@@ -34,20 +34,26 @@ THREES = [t for half in ((0, 1, 2, 3), (4, 5, 6, 7)) for t in combinations(half,
 FIVES = [(t, two) for t in THREES for two in combinations([p for p in range(BYTES) if p not in t], 2)]
 
 
-def fingerprint(text: bytes, words: int = 3, seed: int = 42) -> int:
-    """The SimHash of one text by its word shingles, repeats included; without words 0."""
+def shingle_hashes(text: bytes, words: int, seed: int = 42) -> list[int]:
+    """64-bit hashes of the word shingles in order, repeats included; a shorter text is one, one without words has none."""
     found = text.lower().split()  # of bytes: A-Z only, parted by the six ASCII blanks
     if not found:
-        return 0
+        return []
     joined = b" ".join(found)
     if len(found) <= words:
-        hashes = [xxhash.xxh64_intdigest(joined, seed)]
-    else:
-        ends = np.cumsum(np.fromiter(map(len, found), np.int64, len(found)) + 1)
-        starts = np.concatenate([[0], ends[: -words]]).tolist()
-        stops = (ends[words - 1 :] - 1).tolist()
-        one = xxhash.xxh64_intdigest
-        hashes = [one(joined[a:b], seed) for a, b in zip(starts, stops)]
+        return [xxhash.xxh64_intdigest(joined, seed)]
+    ends = np.cumsum(np.fromiter(map(len, found), np.int64, len(found)) + 1)
+    starts = np.concatenate([[0], ends[: -words]]).tolist()
+    stops = (ends[words - 1 :] - 1).tolist()
+    one = xxhash.xxh64_intdigest
+    return [one(joined[a:b], seed) for a, b in zip(starts, stops)]
+
+
+def fingerprint(text: bytes, words: int = 3, seed: int = 42) -> int:
+    """The SimHash of one text by its word shingles, repeats included; without words 0."""
+    hashes = shingle_hashes(text, words, seed)
+    if not hashes:
+        return 0
     set_bits = np.zeros(64, np.int64)
     for at in range(0, len(hashes), 65_536):
         part = np.array(hashes[at : at + 65_536], "<u8").view(np.uint8).reshape(-1, 8)

@@ -4,7 +4,8 @@ import numpy as np
 import pytest
 import xxhash
 
-from brightloom.llm import simhash, vectors
+import corpus_pipeline
+from brightloom.llm import shingles, simhash, vectors
 from brightloom.llm.components import components
 
 DOCUMENTS = "/root/testdata/sf0.001/documents.parquet"
@@ -84,6 +85,41 @@ def test_crowded_posting_lists_lose_nothing(spark):
         simhash.links(df, 4)
 
 
+def five_word_roots(rows):
+    """Smallest index of each row's group by brute-force Jaccard similarity of five-word shingles."""
+    sets = []
+    for _, text in rows:
+        found = (text or "").encode().lower().split()
+        sets.append({b" ".join(found[i : i + 5]) for i in range(max(1, len(found) - 4))} if found else set())
+    close = [(i, j) for i in range(len(rows)) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    return groups(len(rows), close)
+
+
+def test_near_dedup_is_five_word_jaccard(spark):
+    rng = np.random.default_rng(8)
+    rows = [(None, ""), (900, " "), (901, "one two"), (902, "One  two")]
+    for g in range(30):
+        base = [f"w{n}" for n in rng.integers(0, 5000, 100)]
+        for _ in range(150 if g == 0 else 5):
+            own = list(base)
+            for _ in range(rng.integers(0, 4)):
+                own[rng.integers(0, 100)] = f"x{rng.integers(0, 5000)}"
+            rows.append((1000 + len(rows), " ".join(own)))
+    df = spark.createDataFrame([(*r, 1, "k") for r in rows], "doc_id long, text string, node long, root string")
+    roots = five_word_roots(rows)
+    expected = sorted(str(min(d for (d, _), x in zip(rows, roots) if x == root and d is not None)) for root in set(roots))
+    for kept in (corpus_pipeline.near_dedup(spark, df, ""), shingles.keep_one(df, most=16)):
+        assert kept.columns == df.columns
+        assert sorted(str(r["doc_id"]) for r in kept.collect()) == expected
+
+
+def test_near_dedup_of_documents(spark):
+    docs = spark.read.parquet(DOCUMENTS)
+    rows = sorted((r["doc_id"], r["text"]) for r in docs.collect())
+    found = sorted(r["doc_id"] for r in shingles.keep_one(docs).collect())
+    assert found == sorted({rows[root][0] for root in five_word_roots(rows)})
+
+
 def test_vectors(spark):
     rng = np.random.default_rng(3)
     centres = rng.normal(size=(40, 12))
