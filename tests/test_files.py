@@ -22,6 +22,16 @@ def test_csv_round_trip(spark, tmp_path):
         io.load_dataset(spark, str(tmp_path / "none"))
 
 
+def test_datasets_keep_quoted_line_breaks(spark, tmp_path):
+    columns = ["InvoiceDate", "Quantity", "UnitPrice", "CustomerID", "note"]
+    df = spark.createDataFrame([("d", "1", "2", "c", "one\ntwo"), ("e", "3", "4", "f", 'a "b"\n\nc')], columns)
+    io.write_csv(df, str(tmp_path / "csv"))
+    expected = sorted(map(tuple, df.collect()))
+    found, is_fallback = io.load_dataset(spark, str(tmp_path / "csv"))
+    assert not is_fallback and sorted(map(tuple, found.collect())) == expected
+    assert sorted(map(tuple, io.read_transactions(spark, str(tmp_path / "csv")).collect())) == expected
+
+
 def test_responses_csv(spark, tmp_path):
     records = spark.createDataFrame([("e", "p", {"a": "b"})], "experiment_id string, prompt_id string, metadata map<string,string>")
     io.write_responses_csv(records, str(tmp_path / "csv"))
