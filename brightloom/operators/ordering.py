@@ -18,6 +18,8 @@ from math import ceil, sqrt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from brightloom.session import written
+
 # At least so many ranges, and no fewer than the session has shuffle partitions.
 LEAST_RANGES = 256
 
@@ -88,6 +90,47 @@ def row_numbers(
     )
 
 
+def composite_row_numbers(
+    df: DataFrame, order: Sequence[str | Column], by: Sequence[str] = (), name: str = "row_number",
+    total: str | None = None, ranges: int | None = None,
+) -> DataFrame:
+    """Add 1..n per group in the order of any columns of any type, ascending or descending.
+
+    Rows are placed in ranges of the composite key (group, order) and sorted there,
+    so a large group fills many ranges. A row's number is its place in its range
+    plus the group's rows in earlier ranges: one small row per range and group.
+    Nulls are ordinary keys. Only rows equal in all of `order` must share a range,
+    so `order` should end in a nearly unique column. `total` names one more
+    column, the size of the group.
+    """
+    wanted = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = [*map(F.col, by), *[F.col(c) if isinstance(c, str) else c for c in order]]
+    sorted_rows = df.repartitionByRange(wanted, *keys).sortWithinPartitions(*keys)
+    # The id is the range in its upper bits and the place inside the range below them.
+    placed = written(sorted_rows.withColumn("_place", F.monotonically_increasing_id()), "placed")
+    placed = placed.withColumn("_range", F.shiftright("_place", 33))
+    sizes = placed.groupBy(*by, "_range").agg(F.min("_place").alias("first"), F.count(F.lit(1)).alias("n"))
+    of_group = sizes.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("_range", "first", "n"))).alias("_ranges"))
+    # A group has at most as many entries as there are ranges; the running sum is kept in the accumulator.
+    sums = F.aggregate(
+        "_ranges", F.array(F.lit(0).cast("long")),
+        lambda done, r: F.concat(done, F.array(F.element_at(done, -1) + r["n"])),
+    )
+    starts = of_group.withColumn("_sums", sums).select(
+        *[F.col(c).alias(f"_by{i}") for i, c in enumerate(by)], F.element_at("_sums", -1).alias("_total"),
+        F.explode(F.arrays_zip("_ranges", F.slice("_sums", F.lit(1), F.size("_ranges")).alias("before"))).alias("_r"),
+    ).select(
+        *[f"_by{i}" for i in range(len(by))], "_total", F.col("_r._ranges._range").alias("_at"),
+        (F.col("_r.before") - F.col("_r._ranges.first")).alias("_shift"),
+    )
+    same = F.col("_range") == F.col("_at")
+    for i, c in enumerate(by):
+        same = same & F.col(c).eqNullSafe(F.col(f"_by{i}"))
+    numbered = placed.join(starts, same).withColumn(name, F.col("_place") + F.col("_shift") + 1)
+    totals = [F.col("_total").alias(total)] if total else []
+    return numbered.select(*[c for c in df.columns if c not in (name, total)], name, *totals)
+
+
 def running_totals(
     df: DataFrame, order: str, sums: Mapping[str, str], by: Sequence[str] = (), ranges: int | None = None
 ) -> DataFrame:

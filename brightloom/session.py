@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -50,3 +52,13 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """`df` as a Parquet table in the shared checkpoint folder, read back from there.
+
+    Like `checkpointed`, but in columns: a reader of few columns reads no others.
+    """
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -3,6 +3,7 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from brightloom.operators import ordering
 
@@ -59,3 +60,26 @@ def test_number_of_ranges_changes_nothing(skewed, ranges):
         assert np.allclose(got[group], np.quantile(values, [0.25, 0.5]))
     numbers = ordering.row_numbers(df, "id", ["g"], ranges=ranges).toPandas().set_index("id")["row_number"].sort_index()
     assert (numbers.to_numpy() == (frame.groupby("g").cumcount() + 1).to_numpy()).all()
+
+
+def test_composite_numbers_of_a_hot_group(spark):
+    rows = [("hot" if i % 3 else None if i % 2 else f"g{i % 7}", i * 7919 % 50, f"n{i * 31 % 1000:04d}", i) for i in range(3000)]
+    df = spark.createDataFrame(rows, "k string, x long, s string, i long")
+    numbered = ordering.composite_row_numbers(df, [F.desc("x"), "s", "i"], ["k"], "n", total="all", ranges=13)
+    groups = {}
+    for row in rows:
+        groups.setdefault(row[0], []).append(row)
+    expected = set()
+    for members in groups.values():
+        members.sort(key=lambda r: (-r[1], r[2], r[3]))
+        expected |= {(r[3], at, len(members)) for at, r in enumerate(members, 1)}
+    assert {(r["i"], r["n"], r["all"]) for r in numbered.collect()} == expected
+
+
+def test_composite_numbers_over_all_rows_use_no_window(spark):
+    df = spark.range(500).selectExpr("id", "cast(id % 10 as string) as k")
+    numbered = ordering.composite_row_numbers(df, [F.desc_nulls_first("k"), "id"], name="k2", ranges=4)
+    assert "Window" not in numbered._jdf.queryExecution().toString()
+    expected = sorted(((str(i % 10), i) for i in range(500)), key=lambda r: (-int(r[0]), r[1]))
+    assert [(r["k"], r["id"]) for r in numbered.orderBy("k2").collect()] == expected
+    assert ordering.composite_row_numbers(df.limit(0), ["id"]).count() == 0
