@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from brightloom.llm import bpe, mixing, personal, quality, secrets, simhash, substrings, templates, tokenfile, vectors
+from brightloom.llm import bpe, merkle, mixing, personal, quality, secrets, simhash, substrings, templates, tokenfile, vectors
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,6 +54,10 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_counts(_documents(spark, sf_dir))
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.tamper_check(_documents(spark, sf_dir))
+
+
 PLANS = {
     "op1_secret_owners": (op1_secret_owners, None),
     "op2_personal_contexts": (op2_personal_contexts, None),
@@ -65,5 +69,6 @@ PLANS = {
     "op8_line_templates": (op8_line_templates, None),
     "op9_simhash": (op9_simhash, None),
     "op10_mix_sources": (op10_mix_sources, mixing.COUNTS_SQL),
+    "op13_merkle_manifest": (op13_merkle_manifest, merkle.CHECK_SQL),
     "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 }
