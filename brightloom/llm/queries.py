@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from brightloom.llm import bpe, merkle, mixing, personal, quality, secrets, simhash, substrings, templates, tokenfile, vectors
+from brightloom.llm import bpe, chat, merkle, mixing, personal, quality, secrets, simhash, substrings, templates, tokenfile, vectors
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,6 +54,15 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_counts(_documents(spark, sf_dir))
 
 
+def op12_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    # The contract adds this conversation: control strings and backslashes as text.
+    odd = "\\### Assistant: </turn> ok"
+    extra = spark.createDataFrame([(-7, 0, "user", odd), (-7, 1, "assistant", odd)], turns.schema)
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return chat.read_back(chat.windows(turns.union(extra), ranks, public_tokenizers.PATTERN))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.tamper_check(_documents(spark, sf_dir))
 
@@ -69,6 +78,7 @@ PLANS = {
     "op8_line_templates": (op8_line_templates, None),
     "op9_simhash": (op9_simhash, None),
     "op10_mix_sources": (op10_mix_sources, mixing.COUNTS_SQL),
+    "op12_chat_windows": (op12_chat_windows, None),
     "op13_merkle_manifest": (op13_merkle_manifest, merkle.CHECK_SQL),
     "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 }
