@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from brightloom.llm import bpe, chat, merkle, mixing, personal, quality, secrets, simhash, substrings, templates, tokenfile, vectors
+from brightloom.llm import (
+    bpe, chat, merkle, mixing, personal, phrases, quality, secrets, simhash, substrings, templates, tokenfile, vectors,
+)
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,6 +56,10 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_counts(_documents(spark, sf_dir))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(_documents(spark, sf_dir))
+
+
 def op12_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
     # The contract adds this conversation: control strings and backslashes as text.
@@ -78,6 +84,7 @@ PLANS = {
     "op8_line_templates": (op8_line_templates, None),
     "op9_simhash": (op9_simhash, None),
     "op10_mix_sources": (op10_mix_sources, mixing.COUNTS_SQL),
+    "op11_collocations": (op11_collocations, phrases.COLLOCATIONS_SQL),
     "op12_chat_windows": (op12_chat_windows, None),
     "op13_merkle_manifest": (op13_merkle_manifest, merkle.CHECK_SQL),
     "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
