@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brightloom.llm import bpe, mixing, quality, shingles, templates
+from brightloom.llm import bpe, mixing, quality, simhash, templates
 from brightloom.llm.shared import stored
 
 
@@ -26,8 +26,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays: five-word shingles, similarity 0.8 or more."""
-    return shingles.keep_one(docs)
+    """One document of each group stays: fingerprints of three-word shingles, at most three differing bits."""
+    return simhash.keep_one(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
