@@ -4,49 +4,59 @@ Texts become chunks of word numbers. Words that are frequent in their language g
 ids by falling frequency, so frequent pairs have small ids. In a chunk the pairs of
 neighbours are dealt to tiles of TILE x TILE ids: a tile that is well filled is
 counted by direct address (`numpy.bincount` over all its cells), the pairs of
-sparse tiles as sorted coordinates. Spark adds the cells of all chunks.
+sparse tiles as sorted coordinates. A chunk sends its counts, packed, to buckets by
+a hash of the pair; a bucket adds up what the chunks found.
 
 Frequent pairs are ranked by frequency in their turn and become the symbols of the
 next round: a phrase of m + 1 words is the pair of its first m and its last m words,
 so every round is the same count of neighbours. A phrase cannot be more frequent
 than a part of it, so symbols that are not frequent are left out without loss.
 
-A chunk learns the ids of its own words and phrases by a join on the chunk; no
-vocabulary is broadcast or gathered.
+A bucket tells every chunk which of its own pairs are frequent, and their ids; no
+vocabulary is broadcast or gathered. Buckets are as many as the session has shuffle
+partitions, and a hash spreads the pairs, so a bucket ranks a fair sample of all
+frequent pairs: its r-th most frequent gets the id r * buckets + bucket.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator, Sequence
+import struct
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from brightloom.llm.shared import stored
-from brightloom.operators.ordering import composite_row_numbers
+from brightloom.llm.shared import partitions, stored
 
 LEAST = 100
 LONGEST = 5
 TOP = 2000
-CHUNK_WORDS = 1 << 19
+CHUNK_WORDS = 1 << 20
 TILE = 256
 FILLED = 8  # a tile with a pair for every so many cells is dense
-PART_WORDS = 1 << 16  # words in one stored row of a chunk
+PART_WORDS = 1 << 18  # words in one stored row of a chunk
 SLICE = 1 << 22  # bytes of a text that are split at once
 NO_LANG = "und"
 _UPPER, _SEPARATORS, _STOP = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b".,;:!?\n\x0b\x0c\r", b"\xff"
 _END = re.compile(rb"[ \t.,;:!?\n-\r]")
 _TABLE = bytes.maketrans(_UPPER + _SEPARATORS + b"\t", _UPPER.lower() + _STOP * len(_SEPARATORS) + b" ")
 
-CHUNK_SCHEMA = (
-    "chunk long, lang string, context int, part int, places binary, number int, word string, a long, b long, n long"
-)
-_ARROW = pa.schema([
-    ("chunk", pa.int64()), ("lang", pa.string()), ("context", pa.int32()), ("part", pa.int32()), ("places", pa.binary()),
-    ("number", pa.int32()), ("word", pa.string()), ("a", pa.int64()), ("b", pa.int64()), ("n", pa.int64()),
+# Rows of a chunk: parts of its places, and packed counts for a bucket.
+CHUNK_SCHEMA = "chunk long, context int, part int, places binary, bucket int, lang string, n long, counts binary"
+_CHUNK = pa.schema([
+    ("chunk", pa.int64()), ("context", pa.int32()), ("part", pa.int32()), ("places", pa.binary()),
+    ("bucket", pa.int32()), ("lang", pa.string()), ("n", pa.int64()), ("counts", pa.binary()),
+])
+# Rows of a bucket: ids for a chunk, and the frequent symbols.
+BUCKET_SCHEMA = "chunk long, ids binary, id long, a long, b long, lang string, word string, n long"
+_BUCKET = pa.schema([
+    ("chunk", pa.int64()), ("ids", pa.binary()), ("id", pa.int64()), ("a", pa.int64()), ("b", pa.int64()),
+    ("lang", pa.string()), ("word", pa.string()), ("n", pa.int64()),
 ])
 
 
@@ -68,90 +78,118 @@ def _slices(data: bytes) -> Iterator[bytes]:
         start = stop
 
 
-def _table(rows: int, **columns: object) -> pa.RecordBatch:
-    """A batch of the chunk schema with the columns that are given; the others are null."""
-    arrays = []
-    for field in _ARROW:
-        value = columns.get(field.name)
-        if value is None:
-            arrays.append(pa.nulls(rows, field.type))
-        elif isinstance(value, pa.Array):
-            arrays.append(value.cast(field.type))
-        elif isinstance(value, (list, np.ndarray)):
-            arrays.append(pa.array(value, field.type))
-        else:
-            arrays.append(pa.array([value], field.type).take(pa.array(np.zeros(rows, np.int64))))
-    return pa.RecordBatch.from_arrays(arrays, schema=_ARROW)
+def packed(*columns: np.ndarray) -> bytes:
+    """Columns of integers of one length, bytes of equal weight side by side, compressed."""
+    planes = [np.ascontiguousarray(c, "<i8").view("u1").reshape(-1, 8).T.tobytes() for c in columns]
+    return struct.pack("<I", len(columns[0])) + zstandard.compress(b"".join(planes), 3)
 
 
-def _places(chunk: int, lang: str, context: int, numbers: np.ndarray) -> pa.RecordBatch:
-    """The rows that hold which symbol stands at each place of a chunk, -1 for none."""
-    cuts = range(0, len(numbers), PART_WORDS)
-    parts = [numbers[c : c + PART_WORDS].astype("<i4").tobytes() for c in cuts]
-    return _table(len(parts), chunk=chunk, lang=lang, context=context, part=list(range(len(parts))), places=parts)
+def _steps(rising: np.ndarray) -> np.ndarray:
+    """Differences of a sorted column, which pack better."""
+    return np.diff(rising, prepend=0)
 
 
-def _word_chunk(chunk: int, lang: str, context: int, words: list[bytes]) -> Iterator[pa.RecordBatch]:
-    """A chunk's places and its words with their counts, words of the context not counted."""
-    coded = pa.array(words, pa.binary()).dictionary_encode()
-    kinds, numbers = coded.dictionary, coded.indices.to_numpy()
-    counts = np.bincount(numbers, minlength=len(kinds))
-    np.subtract.at(counts, numbers[:context], 1)
-    stop = kinds.index(pa.scalar(_STOP, pa.binary())).as_py()
-    order = np.flatnonzero(np.arange(len(kinds)) != stop) if stop >= 0 else np.arange(len(kinds))
-    yield _places(chunk, lang, context, np.where(numbers == stop, -1, numbers))
-    for at in range(0, len(order), PART_WORDS):
-        own = order[at : at + PART_WORDS]
-        words_here = kinds.view(pa.string()).take(pa.array(own))
-        yield _table(len(own), chunk=chunk, lang=lang, number=own.astype("i4"), word=words_here, n=counts[own])
+def unpacked(data: bytes) -> list[np.ndarray]:
+    (size,) = struct.unpack_from("<I", data)
+    planes = np.frombuffer(zstandard.decompress(data[4:]), "u1")
+    if not size:
+        return [np.zeros(0, np.int64)] * 3  # as many as any reader takes
+    return [np.ascontiguousarray(c.reshape(8, size).T).view("<i8").ravel() for c in planes.reshape(-1, 8 * size)]
 
 
-def word_chunks(docs: DataFrame, lang: str, text: str, chunk_words: int) -> DataFrame:
-    """Chunks of words of one language each. A piece that goes on in the next chunk
-    leaves its last LONGEST - 1 words there as context, which is counted here only."""
+def _batch(schema: pa.Schema, rows: list[dict]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pylist(rows, schema=schema)
+
+
+def _places(chunk: int, context: int, numbers: np.ndarray) -> list[dict]:
+    """The rows that hold which symbol stands at each place of a chunk, -1 for none."""
+    cuts = range(0, len(numbers), PART_WORDS)
+    return [
+        {"chunk": chunk, "context": context, "part": i, "places": packed(numbers[c : c + PART_WORDS])}
+        for i, c in enumerate(cuts)
+    ]
+
+
+class _Words:
+    """The words of a chunk as they are read, numbered per language."""
+
+    def __init__(self) -> None:
+        self.kinds: dict[str, dict[bytes, int]] = {}
+        self.parts: list[tuple[str, np.ndarray]] = []
+        self.size = self.context = 0
+
+    def add(self, lang: str, found: list[bytes]) -> None:
+        kinds = self.kinds.setdefault(lang, {_STOP: 0})
+        number = kinds.setdefault
+        self.parts.append((lang, np.array([number(w, len(kinds)) for w in found], np.int32)))
+        self.size += len(found)
+
+    def rows(self, chunk: int, buckets: int) -> Iterator[list[dict]]:
+        """Places, and per bucket and language the words with their counts; words of the context are not counted."""
+        offsets, at = {}, 0
+        for lang, kinds in self.kinds.items():
+            offsets[lang] = at
+            at += len(kinds)
+        numbers = np.concatenate([part + offsets[lang] for lang, part in self.parts])
+        counts = np.bincount(numbers, minlength=at)
+        np.subtract.at(counts, numbers[: self.context], 1)
+        # Words get new numbers, in a row for every language and bucket, so that a bucket needs only the first.
+        renumbered, rows, used = np.full(at, -1, np.int64), [], 0
+        for lang, kinds in self.kinds.items():
+            words = list(kinds)
+            bucket = [xxhash.xxh64_intdigest(w) % buckets for w in words]
+            order = sorted(range(1, len(words)), key=lambda i: (bucket[i], words[i]))
+            own = np.array(order, np.int64) + offsets[lang]
+            renumbered[own] = np.arange(used, used + len(own))
+            bounds = np.searchsorted(np.array([bucket[i] for i in order]), np.arange(buckets + 1))
+            for b in range(buckets):
+                low, high = bounds[b], bounds[b + 1]
+                if low < high:
+                    n = counts[own[low:high]]
+                    text, table = b"\n".join([words[i] for i in order[low:high]]), packed(n)
+                    head = struct.pack("<qI", int(used + low), len(table))
+                    rows.append({
+                        "chunk": chunk, "bucket": b, "lang": lang, "n": int(n.sum()),
+                        "counts": head + table + zstandard.compress(text, 3),
+                    })
+            used += len(own)
+        yield _places(chunk, self.context, renumbered[numbers])
+        for start in range(0, len(rows), 1000):
+            yield rows[start : start + 1000]
+
+
+def word_chunks(docs: DataFrame, lang: str, text: str, chunk_words: int, buckets: int) -> DataFrame:
+    """Chunks of words. A piece that goes on in the next chunk leaves its last
+    LONGEST - 1 words there as context, which is counted here only."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        chunk = TaskContext.get().partitionId() << 32
-        pending: dict[str, list[bytes]] = {}
-        context: dict[str, int] = {}
-        waiting = 0
-
-        def flush(which: str, open_piece: bool) -> Iterator[pa.RecordBatch]:
-            nonlocal chunk, waiting
-            words = pending.pop(which)
-            held = context.pop(which, 0)
-            waiting -= len(words)
-            if len(words) > held:
-                yield from _word_chunk(chunk, which, held, words)
-                chunk += 1
-            if open_piece:
-                tail = words[-(LONGEST - 1) :]
-                if _STOP in tail:
-                    tail = tail[len(tail) - tail[::-1].index(_STOP) :]
-                if tail:
-                    pending[which], context[which] = tail, len(tail)
-                    waiting += len(tail)
-
+        chunk, words = TaskContext.get().partitionId() << 32, _Words()
         for batch in batches:
             for which, data in zip(batch.column("lang").to_pylist(), batch.column("text")):
-                # Python owns the bytes of one text at a time.
+                recent: list[bytes] = []
                 for part in _slices(data.as_py()):
                     found = tokens(part)
-                    for at in range(0, len(found), chunk_words):
-                        some = found[at : at + chunk_words]
-                        pending.setdefault(which, []).extend(some)
-                        waiting += len(some)
-                        if len(pending[which]) >= chunk_words:
-                            yield from flush(which, True)
-                if which in pending:
-                    pending[which].append(_STOP)
-                    waiting += 1
-                while waiting > 2 * chunk_words:
-                    yield from flush(max(pending, key=lambda k: len(pending[k])), False)
-        for which in list(pending):
-            yield from flush(which, False)
+                    while found:
+                        room = max(1, chunk_words - words.size)
+                        some, found = found[:room], found[room:]
+                        words.add(which, some)
+                        recent = (recent + some[-LONGEST:])[-LONGEST:]
+                        if words.size >= chunk_words:
+                            for rows in words.rows(chunk, buckets):
+                                yield _batch(_CHUNK, rows)
+                            chunk += 1
+                            tail = recent[-(LONGEST - 1) :]
+                            words = _Words()
+                            if _STOP in tail:
+                                tail = tail[len(tail) - tail[::-1].index(_STOP) :]
+                            words.add(which, tail)
+                            words.context = len(tail)
+                words.add(which, [_STOP])
+        if words.size > words.context:
+            for rows in words.rows(chunk, buckets):
+                yield _batch(_CHUNK, rows)
 
     rows = docs.select(
         F.coalesce(F.col(lang), F.lit(NO_LANG)).alias("lang"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text")
@@ -207,41 +245,140 @@ def count_pairs(symbols: np.ndarray, tile: int = TILE, filled: int = FILLED) ->
     return numbers, *[np.concatenate(f) for f in (found_a, found_b, found_n)]
 
 
-def _pair_chunks(before: DataFrame, ids: DataFrame, size: int, tile: int) -> DataFrame:
-    """Chunks of phrases of `size` words from those one word shorter and the ids of the frequent ones (chunk, number, id)."""
+def _answers(chunks: np.ndarray, numbers: np.ndarray, ids: np.ndarray) -> list[dict]:
+    """Per chunk one row with the numbers of its frequent symbols and their ids."""
+    order = np.lexsort((numbers, chunks))
+    cuts = np.flatnonzero(np.diff(chunks[order])) + 1
+    return [
+        {"chunk": int(chunks[some[0]]), "ids": packed(_steps(numbers[some]), ids[some])}
+        for some in np.split(order, cuts) if len(some)
+    ]
+
+
+def _ids(totals: np.ndarray, least: int, bucket: int, buckets: int) -> np.ndarray:
+    """Ids by falling frequency of the symbols of a bucket that are frequent, -1 for the others."""
+    often = np.flatnonzero(totals >= least)
+    ids = np.full(len(totals), -1, np.int64)
+    ids[often[np.argsort(-totals[often], kind="stable")]] = np.arange(len(often)) * buckets + bucket
+    return ids
+
+
+def _ranked_words(chunks: DataFrame, least: int, buckets: int) -> DataFrame:
+    """Frequent words with their ids, and the answers to the chunks."""
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        bucket, rows = key[0].as_py(), []
+        # Orders by what the rows hold, so that a task that runs again gives the same ids.
+        table = table.sort_by([("lang", "ascending"), ("chunk", "ascending")])
+        words, langs, numbers, counts, owners = [], [], [], [], []
+        for chunk, lang, data in zip(*[table.column(c).to_pylist() for c in ("chunk", "lang", "counts")]):
+            first, size = struct.unpack_from("<qI", data)
+            (n,) = unpacked(data[12 : 12 + size])
+            words.append(pa.array(zstandard.decompress(data[12 + size :]).split(b"\n"), pa.binary()))
+            langs.append(lang)
+            numbers.append(np.arange(first, first + len(n)))
+            counts.append(n)
+            owners.append(np.full(len(n), chunk))
+        start, symbols, found = 0, [], []
+        while start < len(langs):
+            stop = start
+            while stop < len(langs) and langs[stop] == langs[start]:
+                stop += 1
+            coded = pa.concat_arrays(words[start:stop]).dictionary_encode()
+            kinds = coded.dictionary.to_pylist()
+            base = len(found)
+            symbols.append(coded.indices.to_numpy().astype(np.int64) + base)
+            found += [(langs[start], w) for w in kinds]
+            start = stop
+        symbols, counts = np.concatenate(symbols), np.concatenate(counts)
+        totals = np.zeros(len(found), np.int64)
+        np.add.at(totals, symbols, counts)
+        ids = _ids(totals, least, bucket, buckets)
+        for i in np.flatnonzero(ids >= 0).tolist():
+            rows.append({"id": int(ids[i]), "lang": found[i][0], "word": found[i][1].decode("utf-8", "replace"), "n": int(totals[i])})
+        kept = ids[symbols] >= 0
+        rows += _answers(np.concatenate(owners)[kept], np.concatenate(numbers)[kept], ids[symbols][kept])
+        return pa.Table.from_pylist(rows, schema=_BUCKET)
+
+    counted = chunks.filter("counts is not null").select("bucket", "chunk", "lang", "counts")
+    return stored(counted.groupBy("bucket").applyInArrow(run, BUCKET_SCHEMA), "symbols")
+
+
+def _ranked_pairs(chunks: DataFrame, least: int, buckets: int) -> DataFrame:
+    """Frequent pairs with their ids, and the answers to the chunks."""
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        bucket, rows = key[0].as_py(), []
+        table = table.sort_by("chunk")
+        firsts, parts = [], []
+        for data in table.column("counts").to_pylist():
+            firsts.append(struct.unpack_from("<q", data)[0])
+            parts.append(unpacked(data[8:]))
+        numbers = np.concatenate([np.arange(first, first + len(p[0])) for first, p in zip(firsts, parts)])
+        a, b, n = np.concatenate([np.cumsum(p[0]) for p in parts]), *(np.concatenate([p[i] for p in parts]) for i in (1, 2))
+        owners = np.repeat(table.column("chunk").to_numpy(), [len(p[0]) for p in parts])
+        order = np.lexsort((b, a))
+        a, b = a[order], b[order]
+        new = np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
+        firsts = np.flatnonzero(new)
+        totals = np.add.reduceat(n[order], firsts)
+        ids = _ids(totals, least, bucket, buckets)
+        for i in np.flatnonzero(ids >= 0).tolist():
+            rows.append({"id": int(ids[i]), "a": int(a[firsts[i]]), "b": int(b[firsts[i]]), "n": int(totals[i])})
+        own = ids[np.cumsum(new) - 1]
+        kept = own >= 0
+        rows += _answers(owners[order][kept], numbers[order][kept], own[kept])
+        return pa.Table.from_pylist(rows, schema=_BUCKET)
+
+    counted = chunks.filter("counts is not null").select("bucket", "chunk", "counts")
+    return stored(counted.groupBy("bucket").applyInArrow(run, BUCKET_SCHEMA), "symbols")
+
+
+def _pair_chunks(before: DataFrame, symbols: DataFrame, size: int, tile: int, buckets: int) -> DataFrame:
+    """Chunks of phrases of `size` words from those one word shorter and the ids of the frequent ones."""
 
     def run(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
-            return pa.Table.from_batches([], _ARROW)
+            return pa.Table.from_batches([], _CHUNK)
+        chunk, context = key[0].as_py(), left.column("context")[0].as_py()
         parts = sorted(zip(left.column("part").to_pylist(), left.column("places").to_pylist()))
-        places = np.frombuffer(b"".join(p for _, p in parts), "<i4")
-        lang, context = left.column("lang")[0].as_py(), left.column("context")[0].as_py()
+        places = np.concatenate([unpacked(p)[0] for _, p in parts])
         id_of = np.full(int(places.max(initial=-1)) + 2, -1, np.int64)
-        id_of[right.column("number").to_numpy()] = right.column("id").to_numpy()
+        for data in right.column("ids").to_pylist():
+            steps, ids = unpacked(data)
+            id_of[np.cumsum(steps)] = ids
         numbers, a, b, n = count_pairs(id_of[places], tile)
         if not len(a):
-            return pa.Table.from_batches([], _ARROW)
+            return pa.Table.from_batches([], _CHUNK)
         # A phrase that lies in the context was counted in the chunk before.
         inside = numbers[: max(0, context - size + 1)]
         n = n.copy()
         np.subtract.at(n, inside[inside >= 0], 1)
-        chunk = key[0].as_py()
-        pairs = _table(len(a), chunk=chunk, lang=lang, number=np.arange(len(a), dtype="i4"), a=a, b=b, n=n)
-        return pa.Table.from_batches([_places(chunk, lang, context, numbers), pairs], _ARROW)
-
-    places = before.filter("places is not null").select("chunk", "lang", "context", "part", "places")
+        mixed = (a.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) ^ (b.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
+        mixed ^= mixed >> np.uint64(29)
+        mixed *= np.uint64(0xBF58476D1CE4E5B9)
+        mixed ^= mixed >> np.uint64(32)
+        bucket = (mixed % np.uint64(buckets)).astype(np.int64)
+        # New numbers, in a row for every bucket, so that a bucket needs only the first.
+        order = np.lexsort((b, a, bucket))
+        renumbered = np.empty(len(order) + 1, np.int64)
+        renumbered[order], renumbered[-1] = np.arange(len(order)), -1
+        bounds = np.searchsorted(bucket[order], np.arange(buckets + 1))
+        rows = _places(chunk, context, renumbered[numbers])
+        for at in range(buckets):
+            some = order[bounds[at] : bounds[at + 1]]
+            if len(some):
+                counts = struct.pack("<q", int(bounds[at])) + packed(_steps(a[some]), b[some], n[some])
+                rows.append({"chunk": chunk, "bucket": at, "counts": counts})
+        return pa.Table.from_pylist(rows, schema=_CHUNK)
+
+    places = before.filter("places is not null").select("chunk", "context", "part", "places")
     # Fresh names: both sides come from the same table.
-    own = ids.toDF("of", "number", "id")
+    own = symbols.filter("ids is not null").select("chunk", "ids").toDF("of", "ids")
     paired = places.groupBy("chunk").cogroup(own.groupBy("of")).applyInArrow(run, CHUNK_SCHEMA)
     return stored(paired, "pairs")
 
 
-def _ranked(totals: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Add `id`: 0, 1, ... per language by falling frequency."""
-    numbered = composite_row_numbers(stored(totals, "totals"), [F.desc("n"), *keys], ["lang"], "id")
-    return stored(numbered.withColumn("id", F.col("id") - 1), "ranked")
-
-
 def _score(a: Column, n: Column, l: Column, r: Column) -> Column:
     """floor(1000 * a * n / (l * r)), in whole numbers of up to 38 digits."""
     wide = [c.cast("decimal(19,0)") for c in (a, n, l, r)]
@@ -263,30 +400,24 @@ def collocations(
     An empty table, or one without frequent phrases, gives no rows. Other columns are
     not read. Products are exact up to 38 digits; beyond that Spark raises an error.
     """
-    chunks = word_chunks(docs, lang, text, chunk_words)
-    counted = chunks.filter("number is not null")
-    sizes = counted.groupBy("lang").agg(F.sum("n").alias("all"))
-    totals = counted.groupBy("lang", "word").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
-    words = _ranked(totals, ["word"])
-    ids = counted.join(words, ["lang", "word"]).select("chunk", "number", "id")
+    buckets = partitions(docs.sparkSession)
+    chunks = word_chunks(docs, lang, text, chunk_words, buckets)
+    sizes = chunks.filter("counts is not null").groupBy("lang").agg(F.sum("n").alias("all"))
+    symbols = _ranked_words(chunks, least, buckets)
     none = F.array().cast("array<long>")
-    below = words.select(
+    below = symbols.filter("id is not null").select(
         "lang", "id", "n", F.col("word").alias("phrase"), F.col("word").alias("last"), none.alias("heads"), none.alias("tails")
     )
     levels = []
     for size in range(2, longest + 1):
-        chunks = _pair_chunks(chunks, ids, size, tile)
-        counted = chunks.filter("number is not null")
-        totals = counted.groupBy("lang", "a", "b").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
-        pairs = _ranked(totals, ["a", "b"])
-        ids = counted.join(pairs, ["lang", "a", "b"]).select("chunk", "number", "id")
+        chunks = _pair_chunks(chunks, symbols, size, tile, buckets)
+        symbols = _ranked_pairs(chunks, least, buckets)
+        pairs = symbols.filter("id is not null").select("id", "a", "b", "n")
         # The first size - 1 words of a phrase are the symbol a, the last ones b.
-        first = below.select(
-            "lang", F.col("id").alias("a"), "phrase", F.concat("heads", F.array("n")).alias("heads")
-        )
-        second = below.select("lang", F.col("id").alias("b"), "last", F.concat("tails", F.array("n")).alias("tails"))
+        first = below.select("lang", F.col("id").alias("a"), "phrase", F.concat("heads", F.array("n")).alias("heads"))
+        second = below.select(F.col("id").alias("b"), "last", F.concat("tails", F.array("n")).alias("tails"))
         below = stored(
-            pairs.join(first, ["lang", "a"]).join(second, ["lang", "b"]).select(
+            pairs.join(first, "a").join(second, "b").select(
                 "lang", "id", "n", F.concat_ws(" ", "phrase", "last").alias("phrase"), "last", "heads", "tails", "a", "b"
             ),
             "phrases",

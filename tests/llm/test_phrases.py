@@ -72,6 +72,13 @@ def test_a_long_text_is_sliced(spark, monkeypatch):
     assert [w for part in phrases._slices(text.encode()) for w in phrases.tokens(part)] == whole
 
 
+def test_packed_columns():
+    rng = np.random.default_rng(9)
+    for size in (0, 1, 1000):
+        columns = [rng.integers(-5, 1 << 40, size) for _ in range(3)]
+        assert all((x == y).all() for x, y in zip(columns, phrases.unpacked(phrases.packed(*columns))))
+
+
 def test_tiles_count_pairs():
     rng = np.random.default_rng(8)
     for high, tile in ((6, 4), (500, 16), (1 << 45, 256), (3, 1 << 8)):
