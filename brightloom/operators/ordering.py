@@ -22,6 +22,8 @@ from brightloom.session import written
 
 # At least so many ranges, and no fewer than the session has shuffle partitions.
 LEAST_RANGES = 256
+# One value in so many is looked at to choose the bounds of value ranges.
+BOUND_SHARE = 16
 
 
 def _side(df: DataFrame, ranges: int | None) -> int:
@@ -154,17 +156,41 @@ def running_totals(
     ).drop("_range", *kept)
 
 
-def value_frequencies(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """(group, `column`, `value`, `_n`): how often each number occurs, without nulls and NaN."""
-    pairs = F.array(
-        *[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns]
-    )
-    # Null keys go first in every branch, so that all branches share one exchange.
-    keyed = df
+def _long(df: DataFrame, columns: Sequence[str], by: Sequence[str]) -> DataFrame:
+    """(group, `column`, `value`) of every number, without nulls, NaN and null groups."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns])
     for key in by:
-        keyed = keyed.filter(F.col(key).isNotNull())
-    long = keyed.select(*by, F.inline(pairs)).filter(F.col("value").isNotNull() & ~F.isnan("value"))
-    return long.groupBy(*by, "column", "value").agg(F.count(F.lit(1)).alias("_n"))
+        df = df.filter(F.col(key).isNotNull())
+    return df.select(*by, F.inline(pairs)).filter(F.col("value").isNotNull() & ~F.isnan("value"))
+
+
+def _column_ranges(long: DataFrame, ranges: int | None) -> DataFrame:
+    """Add `_range`: which of the column's value ranges a value falls in.
+
+    The bounds come from one value in BOUND_SHARE, chosen by its hash; they only
+    decide how much of a column a range holds.
+    """
+    side = _side(long, ranges)
+    shares = F.expr("array(" + ", ".join(f"{k / side / side!r}D" for k in range(1, side * side)) + ")")
+    some = F.pmod(F.xxhash64("value"), F.lit(BOUND_SHARE)) == 0
+    every_side = F.expr(f"transform(sequence(1, {side - 1}), k -> get(fine, k * {side} - 1))")
+    bounds = (
+        long.filter(some).groupBy("column").agg(F.percentile_approx("value", shares, 10_000).alias("fine"))
+        .agg(F.map_from_entries(F.collect_list(F.struct("column", F.struct("fine", every_side.alias("coarse"))))))
+        .scalar()
+    )
+
+    def below(array: Column) -> Column:
+        return F.coalesce(F.size(F.filter(array, lambda bound: bound < F.col("value"))), F.lit(0))
+
+    fine = F.slice(F.col("_bounds.fine"), F.col("_coarse") * side + 1, F.lit(side - 1))
+    # A column with no value among the chosen ones is one range.
+    return (
+        long.withColumn("_bounds", F.try_element_at(bounds, F.col("column")))
+        .withColumn("_coarse", F.greatest(below(F.col("_bounds.coarse")), F.lit(0)))
+        .withColumn("_range", F.greatest(F.col("_coarse") * side + F.greatest(below(fine), F.lit(0)), F.lit(0)))
+        .drop("_bounds", "_coarse")
+    )
 
 
 def exact_quantiles(
@@ -172,19 +198,12 @@ def exact_quantiles(
 ) -> DataFrame:
     """Linear-interpolated quantiles: one row per group and `column`, array `quantiles`.
 
-    Nulls and NaN are left out. Equal values are counted before anything is
-    ordered, and only the value ranges that hold a wanted position are ordered.
+    Nulls and NaN are left out. The rows of each value range are counted first, in
+    place; only values of ranges that hold a wanted position are shuffled.
     """
-    return quantiles_of_frequencies(value_frequencies(df, columns, by), shares, by, ranges)
-
-
-def quantiles_of_frequencies(
-    counts: DataFrame, shares: Sequence[float], by: Sequence[str] = (), ranges: int | None = None
-) -> DataFrame:
-    """The same from `value_frequencies`."""
     keys = [*by, "column"]
-    ranged = _with_range(counts, "value", "_n", ranges)
-    starts = _range_starts(ranged, keys, {"n": F.col("_n")})
+    ranged = _column_ranges(_long(df, columns, by), ranges)
+    starts = _range_starts(ranged, keys, {"n": F.lit(1).cast("long")})
 
     def position(share: float) -> Column:
         return F.lit(float(share)) * (F.col("_total_n") - 1).cast("double")
@@ -195,15 +214,18 @@ def quantiles_of_frequencies(
         inside_range = inside_range | (
             (rank >= F.col("_start_n")) & (rank < F.col("_start_n") + F.col("_size_n"))
         )
-    needed = starts.filter(inside_range).select(*keys, "_range", "_start_n", "_total_n")
+    # A table on disk has a known size: Spark broadcasts it where it is small and joins by key where it is not.
+    needed = written(starts.filter(inside_range).select(*keys, "_range", "_start_n", "_total_n"), "needed")
+    counts = (
+        ranged.join(needed, [*keys, "_range"]).groupBy(*keys, "_range", "value")
+        .agg(F.count(F.lit(1)).alias("_n"), F.first("_start_n").alias("_start_n"), F.first("_total_n").alias("_total_n"))
+    )
     window = (
         Window.partitionBy(*keys, "_range")
         .orderBy("value")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    ranked = ranged.join(needed, [*keys, "_range"]).withColumn(
-        "_last", F.sum("_n").over(window) + F.col("_start_n") - 1
-    )
+    ranked = counts.withColumn("_last", F.sum("_n").over(window) + F.col("_start_n") - 1)
     holds = [
         (rank <= F.col("_last")) & (rank > F.col("_last") - F.col("_n")) for rank in wanted
     ]

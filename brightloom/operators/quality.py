@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DoubleType, FloatType, NumericType, TimestampNTZType, TimestampType
 
-from brightloom.operators.ordering import exact_quantiles, quantiles_of_frequencies, value_frequencies
+from brightloom.operators.ordering import exact_quantiles
+from brightloom.session import written
 
 _INFINITY = float("inf")
 
@@ -187,38 +188,24 @@ def ranges(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """count, mean, std (sample), min, quartiles (interpolated) and max per column.
 
-    Everything is worked out from the frequencies of the values: the rows are read
-    and shuffled once, and the branches below share that exchange.
+    The moments of all columns are one aggregation without a shuffle of values; the
+    quartiles ship only the value ranges they lie in.
     """
-    counts = value_frequencies(df, columns)
-    n, value = F.col("_n"), F.col("value")
-    moments = counts.groupBy("column").agg(
-        F.sum(n).alias("count"),
-        (F.sum(n * value) / F.sum(n)).alias("mean"),
-        F.min(value).alias("min"),
-        F.max(value).alias("max"),
+    numbers = {c: F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")) for c in columns}
+    measures = {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
+    totals = df.agg(
+        *[F.struct(*[f(v).cast("double").alias(n) for n, f in measures.items()]).alias(c) for c, v in numbers.items()]
     )
-    # The means of the few columns are one map, so the frequencies are not placed by column to meet them.
-    means = moments.agg(F.map_from_entries(F.collect_list(F.struct("column", "mean")))).scalar()
-    away = value - F.col("mean")
-    spread = (
-        counts.withColumn("mean", F.element_at(means, F.col("column")))
-        .groupBy("column")
-        .agg(F.sum(n * away * away).alias("squares"))
+    moments = totals.select(
+        F.inline(F.array(*[F.struct(F.lit(c).alias("column"), *[F.col(c)[n].alias(n) for n in measures]) for c in columns]))
     )
-    quartiles = quantiles_of_frequencies(counts, [0.25, 0.5, 0.75]).select(
+    quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75]).select(
         "column",
         *[F.get("quantiles", F.lit(i)).alias(name) for i, name in enumerate(["q25", "q50", "q75"])],
     )
     # A column without numbers keeps its row, with count 0 and nulls.
-    listed = df.sparkSession.range(1).select(F.explode(F.array(*[F.lit(c) for c in columns])).alias("column"))
-    joined = listed.join(moments, "column", "left").join(spread, "column", "left").join(quartiles, "column", "left")
-    return joined.select(
-        "column",
-        F.coalesce(F.col("count"), F.lit(0)).cast("double").alias("count"),
-        "mean",
-        F.when(F.col("count") > 1, F.sqrt(F.col("squares") / (F.col("count") - 1))).alias("std"),
-        "min", "q25", "q50", "q75", "max",
+    return moments.join(quartiles, "column", "left").select(
+        "column", "count", "mean", "std", "min", "q25", "q50", "q75", "max"
     )
 
 
@@ -257,6 +244,8 @@ def boxplot(df: DataFrame, value: str, by: str) -> DataFrame:
     quartiles = exact_quantiles(df, [value], [0.25, 0.5, 0.75], [by]).select(
         by, *[F.get("quantiles", F.lit(i)).alias(n) for i, n in enumerate(["q1", "median", "q3"])]
     )
+    # Written, so that Spark knows its size and broadcasts it only where it is small.
+    quartiles = written(quartiles, "quartiles")
     reach = F.lit(1.5) * (F.col("q3") - F.col("q1"))
     near = (F.col(value) >= F.col("q1") - reach) & (F.col(value) <= F.col("q3") + reach)
     return (
