@@ -21,7 +21,7 @@ LOG_NOT_POSITIVE = "Log requires a positive number."
 LN_NOT_POSITIVE = "Natural log requires a positive number."
 INVALID_NUMBER = "Invalid number."
 POWER_UNDEFINED = "Power is not a finite real number."
-FACTORIAL_TOO_LARGE = "Factorial is above 33 and does not fit 38 digits."
+FACTORIAL_TOO_LARGE = "Number has more digits than an integer column holds."
 
 # Grade bands from the highest down. Above 90 is A1; every other
 # bound is inclusive; a number below the last bound gets LOWEST_GRADE.
@@ -42,6 +42,7 @@ NOT_A_NUMBER = ("invalid", "Invalid input! Please enter a valid number.")
 
 _WHOLE = r"^\s*[+-]?\d+\s*$"
 _INFINITY = float("inf")
+_LIMB = 10**9
 
 
 def _answer(result: Column, *guards: tuple[Column, str]) -> Column:
@@ -98,29 +99,42 @@ def modulus(a: Column, b: Column) -> Column:
     return _answer(signed + F.lit(0.0), (_bad(a, b), INVALID_NUMBER), (b == 0, MODULUS_BY_ZERO))
 
 
+def _times(limbs: Column, factor: Column) -> Column:
+    """A number in base 10^9, lowest digits first, times a factor below 10^9."""
+    state = F.struct(F.array().cast("array<bigint>").alias("done"), F.lit(0).cast("bigint").alias("carry"))
+
+    def step(acc: Column, limb: Column) -> Column:
+        product = limb * factor + acc["carry"]
+        return F.struct(
+            F.concat(acc["done"], F.array(product % _LIMB)).alias("done"),
+            F.call_function("div", product, F.lit(_LIMB)).alias("carry"),
+        )
+
+    return F.aggregate(
+        limbs, state, step, lambda acc: F.when(acc["carry"] > 0, F.concat(acc["done"], F.array(acc["carry"]))).otherwise(acc["done"])
+    )
+
+
 def factorial(text: Column) -> Column:
-    """`struct<result decimal(38,0), error>` for a whole number written as text.
+    """`struct<result string, error>` for a whole number written as text, of any size.
 
-    33! is the last factorial that fits 38 digits. The product of 2..n is built
-    per row, so no lookup table is needed.
+    The product of 2..n is built per row in limbs of nine digits; work and length
+    grow with the digits of the result.
     """
     whole = text.cast("string").rlike(_WHOLE)
     n = F.trim(text.cast("string")).try_cast("int")
-    too_large = whole & (F.trim(text.cast("string")).try_cast("decimal(38,0)") > 33)
-    bounded = F.when(n.between(2, 33), n)
+    one = F.array(F.lit(1).cast("bigint"))
     product = F.aggregate(
-        F.sequence(F.lit(2), bounded),
-        F.lit(1).cast("decimal(38,0)"),
-        lambda acc, x: (acc * x).cast("decimal(38,0)"),
+        F.sequence(F.lit(2), F.when(n >= 2, n)), one, lambda limbs, x: _times(limbs, x.cast("bigint"))
     )
-    one = F.lit(1).cast("decimal(38,0)")
+    digits = F.transform(F.reverse(product), lambda limb, i: F.when(i == 0, limb.cast("string")).otherwise(F.lpad(limb.cast("string"), 9, "0")))
     error = (
         F.when(text.isNull() | ~whole, NOT_WHOLE)
-        .when(F.trim(text.cast("string")).startswith("-") & (n != 0), NEGATIVE_FACTORIAL)
-        .when(too_large | n.isNull(), FACTORIAL_TOO_LARGE)
+        .when(F.trim(text.cast("string")).startswith("-") & F.coalesce(n != 0, F.lit(True)), NEGATIVE_FACTORIAL)
+        .when(n.isNull(), FACTORIAL_TOO_LARGE)
     )
     return F.struct(
-        F.when(error.isNull(), F.when(n <= 1, one).otherwise(product)).alias("result"),
+        F.when(error.isNull(), F.when(n <= 1, F.lit("1")).otherwise(F.array_join(digits, ""))).alias("result"),
         error.alias("error"),
     )
 

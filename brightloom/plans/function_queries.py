@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -382,9 +384,8 @@ PLANS = {
                ELSE CAST(l_quantity AS VARCHAR) END AS written FROM lineitem),
         n AS (SELECT *, CASE WHEN regexp_full_match(written, '[+-]?\\d+') THEN CAST(written AS INT) END AS n FROM l)
         SELECT l_orderkey, l_linenumber, written,
-          CASE WHEN n BETWEEN 0 AND 33 THEN CAST(factorial(CASE WHEN n BETWEEN 0 AND 33 THEN n ELSE 0 END) AS VARCHAR) END AS result,
-          CASE WHEN n IS NULL THEN 'Enter a whole number only.' WHEN n < 0 THEN 'Factorial cannot be negative.'
-               WHEN n > 33 THEN 'Factorial is above 33 and does not fit 38 digits.' END AS error
+          CASE WHEN n >= 0 THEN list_extract([""" + ", ".join(f"'{math.factorial(n)}'" for n in range(101)) + """], n + 1) END AS result,
+          CASE WHEN n IS NULL THEN 'Enter a whole number only.' WHEN n < 0 THEN 'Factorial cannot be negative.' END AS error
         FROM n""",
     ),
     "scalar_helpers": (

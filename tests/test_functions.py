@@ -121,14 +121,14 @@ def test_guarded_maths(one, function, values, expected):
     assert tuple(one(function, *values, types=["double"] * len(values))) == expected
 
 
-@pytest.mark.parametrize("written", ["0", "1", "20", "21", "33"])
+@pytest.mark.parametrize("written", ["0", "1", "20", "21", "33", "34", "100", "449", "1000"])
 def test_factorial(one, written):
     assert int(one(maths.factorial, written).result) == math.factorial(int(written))
 
 
 @pytest.mark.parametrize(
     "written, error",
-    [("-1", maths.NEGATIVE_FACTORIAL), ("5.0", maths.NOT_WHOLE), ("34", maths.FACTORIAL_TOO_LARGE), ("x", maths.NOT_WHOLE)],
+    [("-1", maths.NEGATIVE_FACTORIAL), ("5.0", maths.NOT_WHOLE), ("9" * 30, maths.FACTORIAL_TOO_LARGE), ("x", maths.NOT_WHOLE)],
 )
 def test_factorial_errors(one, written, error):
     assert one(maths.factorial, written).error == error
