@@ -10,11 +10,12 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
+from pyspark.sql.types import StructType
 
 from brightloom.functions import maths, text
 from brightloom.operators.ordering import row_numbers
 from brightloom.session import checkpointed
+from brightloom.sources.snapshots import SnapshotTable
 
 HISTORY_BUCKETS = 64
 
@@ -246,6 +247,11 @@ def cache_put(cache: DataFrame, entries: DataFrame) -> DataFrame:
     )
 
 
+def response_cache(spark: SparkSession, path: str, schema: StructType | str) -> SnapshotTable:
+    """A cache that outlives the session, by `cache_key`: put (the latest `written_at` of a key stays), get, read, clear."""
+    return SnapshotTable(spark, path, spark.createDataFrame([], schema).schema, "cache_key")
+
+
 def cache_get(cache: DataFrame, key: str) -> DataFrame:
     return cache.filter(F.col("cache_key") == key)
 
@@ -372,43 +378,23 @@ def restore_labels(judged: DataFrame, labelled: DataFrame, by: str = "experiment
     return judged.join(labelled.select(by, "label", "prompt_id"), [by, "label"])
 
 
-def _bucket(experiment_id: Column) -> Column:
-    return F.pmod(F.xxhash64(experiment_id), F.lit(HISTORY_BUCKETS)).cast("int")
+def _history(spark: SparkSession, path: str, schema: StructType) -> SnapshotTable:
+    return SnapshotTable(spark, path, schema, "experiment_id", HISTORY_BUCKETS)
 
 
 def save_history(results: DataFrame, path: str) -> None:
     """Replace the stored rows of the incoming experiments, keep all others.
 
-    Rows lie in folders by a hash of the id, with the id as a column, so the
-    number of folders does not grow with the experiments. Only the folders that
-    `results` falls in are read and rewritten; what goes there is written to the
-    checkpoint folder first, because it comes from the files it replaces.
+    Readers see the table before the save or after it, and only the buckets that the
+    experiments fall in are rewritten.
     """
-    incoming = checkpointed(results.withColumn("_bucket", _bucket(F.col("experiment_id"))))
-    touched = [r["_bucket"] for r in incoming.select("_bucket").distinct().collect()]  # HISTORY_BUCKETS at most
-    stored = load_history(results.sparkSession, path, incoming.schema).filter(F.col("_bucket").isin(touched))
-    kept = upsert(stored, incoming, "experiment_id").select(*incoming.columns)
-    (
-        checkpointed(kept).repartition("_bucket").write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("_bucket")
-        .parquet(path)
-    )
+    _history(results.sparkSession, path, results.schema).put(results)
 
 
-def load_history(spark: SparkSession, path: str, schema, experiment_id: str | None = None) -> DataFrame:
-    """All stored rows, or those of one experiment from its folder; a path without data gives an empty frame."""
-    empty = spark.createDataFrame([], schema)
-    stored = [f for f in empty.schema if f.name != "_bucket"] + [StructField("_bucket", IntegerType())]
-    try:
-        rows = spark.read.schema(StructType(stored)).parquet(path)
-        if experiment_id is not None:
-            rows = rows.filter((F.col("_bucket") == _bucket(F.lit(experiment_id))) & (F.col("experiment_id") == experiment_id))
-        return rows.select(*empty.columns)
-    except Exception as error:
-        if "PATH_NOT_FOUND" in str(error):
-            return empty
-        raise
+def load_history(spark: SparkSession, path: str, schema: StructType | str, experiment_id: str | None = None) -> DataFrame:
+    """All stored rows, or those of one experiment from its bucket; a path without data gives an empty frame."""
+    table = _history(spark, path, spark.createDataFrame([], schema).schema)
+    return table.read() if experiment_id is None else table.get(experiment_id)
 
 
 def get_history(history: DataFrame, experiment_id: str) -> DataFrame:

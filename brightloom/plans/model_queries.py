@@ -216,6 +216,24 @@ def history_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.groupBy("experiment_id", "prompt_id").agg(F.count(F.lit(1)).alias("n"))
 
 
+def cache_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A response cache in files: put, put again with newer and older entries, get, clear; the rows after each step."""
+    events = views.table(spark, sf_dir, "events").select(
+        (F.col("user_id") % 1000).cast("string").alias("cache_key"), F.col("event_type").alias("text"),
+        F.col("event_id").alias("written_at"),
+    )
+    cache = experiments.response_cache(spark, f"{_scratch(spark, 'cache')}/table", events.schema)
+    cache.put(events.filter("written_at % 3 < 2"), "written_at")
+    cache.put(events.filter("written_at % 3 = 2 or written_at % 7 = 0"), "written_at")
+    one = cache.get("7").withColumn("step", F.lit("get"))
+    early, late = cache.read(1).withColumn("step", F.lit("first")), cache.read(2).withColumn("step", F.lit("second"))
+    cache.clear()
+    cleared = cache.read().withColumn("step", F.lit("cleared"))
+    cache.put(events.filter("user_id = 7"), "written_at")
+    again = cache.read().withColumn("step", F.lit("again"))
+    return early.unionByName(late).unionByName(one).unionByName(cleared).unionByName(again)
+
+
 _PRED = """
 pred AS (
   SELECT vec_id AS id, CAST(label < 5 AS INT) AS label, CAST(embedding[1] AS DOUBLE) AS score,
@@ -379,6 +397,15 @@ PLANS = {
               round(Monetary, 2) AS Monetary FROM g""",
         ),
     ),
+    "cache_store": (
+        cache_store,
+        """
+        WITH e AS (SELECT CAST(user_id % 1000 AS VARCHAR) AS cache_key, event_type AS text, event_id AS written_at, user_id FROM events),
+        steps AS (
+          SELECT 'first' AS step, * FROM e WHERE written_at % 3 < 2 UNION ALL SELECT 'second', * FROM e
+          UNION ALL SELECT 'get', * FROM e WHERE cache_key = '7' UNION ALL SELECT 'again', * FROM e WHERE user_id = 7)
+        SELECT step, cache_key, arg_max(text, written_at) AS text, max(written_at) AS written_at FROM steps GROUP BY step, cache_key""",
+    ),
     "history_upsert": (
         history_upsert,
         """

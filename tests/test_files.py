@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from brightloom.functions import maths, text
 from brightloom.sources import io
+from brightloom.sources.snapshots import Conflict, SnapshotTable
 from brightloom.streaming import files
 
 
@@ -62,3 +63,40 @@ def test_stateless_operators_on_a_file_stream(spark, tmp_path):
     files.run_available(files.read_files(spark, source, schema), operator, out, checkpoint).awaitTermination()
     rows = spark.read.parquet(out).orderBy("id").collect()
     assert [(r["id"], r["words"], r["g"]["grade"]) for r in rows] == [(1, 2, "A1"), (2, 0, "invalid"), (3, 1, "lowest")]
+
+
+def test_snapshots_switch_whole(spark, tmp_path):
+    schema = spark.createDataFrame([], "k string, v long").schema
+    table = SnapshotTable(spark, f"file://{tmp_path}/t", schema, "k", buckets=4)
+    assert table.version() == 0 and table.read().count() == 0 and table.get("a").count() == 0
+    rows = [(f"k{i}", i) for i in range(40)] + [(None, 7)]
+    assert table.put(spark.createDataFrame(rows, schema)) == 1
+    files = {p.name for p in (tmp_path / "t" / "data").rglob("*.parquet")}
+    assert table.put(spark.createDataFrame([("k3", 300), ("k3", 301), (None, 8)], schema)) == 2
+    found = sorted(map(str, (tuple(r) for r in table.read().collect())))
+    expected = [r for r in rows if r[0] not in ("k3", None)] + [("k3", 300), ("k3", 301), (None, 8)]
+    assert found == sorted(map(str, expected))
+    assert sorted(r["v"] for r in table.get("k3").collect()) == [300, 301]
+    assert files <= {p.name for p in (tmp_path / "t" / "data").rglob("*.parquet")} and table.read(1).count() == 41
+    assert table.put(spark.createDataFrame([("k3", 9), ("k4", 500)], schema), "v") == 3
+    assert [r["v"] for r in table.get("k3").collect()] == [301] and table.get("k4").first()["v"] == 500
+
+
+def test_a_failed_save_leaves_the_old_state(spark, tmp_path):
+    schema = spark.createDataFrame([], "k string, v long").schema
+    table = SnapshotTable(spark, f"file://{tmp_path}/t", schema, "k")
+    table.put(spark.createDataFrame([("a", 1)], schema))
+    broken = spark.range(5).select(
+        F.lit("a").alias("k"), F.when(F.col("id") == 4, F.raise_error(F.lit("lost")).cast("long")).otherwise(F.col("id")).alias("v")
+    )
+    with pytest.raises(Exception, match="lost"):
+        table.put(broken)
+    assert table.version() == 1 and [tuple(r) for r in table.read().collect()] == [("a", 1)]
+    # A second writer of a version that is there already changes nothing.
+    table.put(spark.createDataFrame([("b", 2)], schema))
+    with pytest.raises(Conflict):
+        table.put(spark.createDataFrame([("a", 3)], schema), version=1)
+    assert {tuple(r) for r in table.read().collect()} == {("a", 1), ("b", 2)}
+    held = table.read()
+    table.clear()
+    assert table.read().count() == 0 and held.count() == 2
