@@ -160,11 +160,12 @@ def segment_heatmap(segmented: DataFrame) -> DataFrame:
     )
 
 
-def business_summary(segmented: DataFrame) -> DataFrame:
-    """One row: customers, revenue, mean revenue, largest segment (lowest cluster on ties), k.
+def business_summary(segmented: DataFrame, silhouette: float | None = None) -> DataFrame:
+    """One row: customers, revenue, mean revenue, largest segment (lowest cluster on ties), k and, if given, the silhouette.
 
     Aggregated per cluster first, so the final step sees k rows.
     """
+    known = [F.lit(float(silhouette)).alias("silhouette")] if silhouette is not None else []
     per_cluster = segmented.groupBy("Cluster", "Segment").agg(
         F.count(F.lit(1)).alias("n"), F.sum("Monetary").alias("revenue")
     )
@@ -174,4 +175,5 @@ def business_summary(segmented: DataFrame) -> DataFrame:
         (F.sum("revenue") / F.sum("n")).alias("average_revenue"),
         F.max_by("Segment", F.struct(F.col("n"), -F.col("Cluster"))).alias("largest_segment"),
         F.count(F.lit(1)).alias("clusters"),
+        *known,
     )

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brightloom.operators import customers, quality
+from brightloom.operators import clusters, customers, quality
+from brightloom.operators.silhouette import silhouette_euclid
 from brightloom.plans.sqltext import CLUSTERED, RFM, segment_case, with_ctes
 from brightloom.sources import views
 
@@ -75,12 +76,27 @@ def segment_heatmap(spark: SparkSession, sf_dir: str) -> DataFrame:
 def business_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = clustered_table(spark, sf_dir)
     segmented = customers.attach_segments(table, customers.cluster_profile(table))
-    return customers.business_summary(segmented).select(
+    labelled = clusters.scaled_features(table).select("Cluster", _scaled_vector())
+    found = silhouette_euclid(labelled, len(customers.FEATURES), error=1e-6).first()["silhouette"]
+    return customers.business_summary(segmented, found).select(
         "customers", F.round("total_revenue", 2).alias("total_revenue"),
         F.round("average_revenue", 2).alias("average_revenue"), "largest_segment", "clusters",
+        F.round("silhouette", 4).alias("silhouette"),
     )
 
 
+def _scaled_vector() -> Column:
+    return F.array(*[F.col(f"scaled_{c}") for c in customers.FEATURES]).alias("vector")
+
+
+def silhouettes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Euclidean silhouettes of three labellings of all customers, worked out together."""
+    scaled = clusters.scaled_features(rfm_table(spark, sf_dir))
+    labels = F.array(*[F.struct(F.lit(k).alias("k"), (F.col("CustomerID") % k).cast("int").alias("Cluster")) for k in (2, 3, 5)])
+    found = silhouette_euclid(scaled.select(_scaled_vector(), F.inline(labels)), len(customers.FEATURES), ["k"], error=1e-6)
+    return found.select(F.col("k").cast("long"), F.round("silhouette", 4).alias("silhouette"))
+
+
 def describe_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     sales = customers.clean_transactions(views.transactions(spark, sf_dir))
     stats = quality.describe(sales, ["Quantity", "UnitPrice", "Sales"])
@@ -107,6 +123,23 @@ FROM sales"""
     for c in ("Quantity", "UnitPrice", "Sales")
 )
 
+def _silhouettes_sql(ks: str) -> str:
+    """Silhouettes of CustomerID % k over all pairs of customers."""
+    logged = {c: f"ln(1 + greatest({c}, 0))" for c in customers.FEATURES}
+    vector = ", ".join(f"({v} - avg({v}) OVER ()) / stddev_pop({v}) OVER ()" for v in logged.values())
+    return f""",
+scaled AS (SELECT CustomerID, [{vector}] AS x FROM rfm),
+labelled AS (SELECT k, CustomerID AS id, CustomerID % k AS c, x FROM scaled, (SELECT unnest({ks}) AS k)),
+sums AS (
+  SELECT a.k, a.id, a.c, b.c AS o, sum(list_distance(a.x, b.x)) AS t, count(*) AS n
+  FROM labelled a JOIN labelled b ON a.k = b.k GROUP BY 1, 2, 3, 4),
+ab AS (
+  SELECT k, id, max(CASE WHEN o = c THEN t / nullif(n - 1, 0) END) AS a, min(CASE WHEN o <> c THEN t / n END) AS b
+  FROM sums GROUP BY 1, 2),
+silhouettes AS (
+  SELECT CAST(k AS BIGINT) AS k, round(avg(coalesce((b - a) / nullif(greatest(a, b), 0), 0)), 4) AS silhouette FROM ab GROUP BY k)"""
+
+
 PLANS = {
     "tx_clean": (
         tx_clean,
@@ -163,14 +196,16 @@ PLANS = {
     "business_summary": (
         business_summary,
         with_ctes(
-            CLUSTERED,
+            CLUSTERED + _silhouettes_sql("[4]"),
             """SELECT count(*) AS customers, round(sum(Monetary), 2) AS total_revenue,
               round(avg(Monetary), 2) AS average_revenue,
               (SELECT Segment FROM profile ORDER BY Customers DESC, Cluster LIMIT 1) AS largest_segment,
-              (SELECT count(*) FROM profile) AS clusters
+              (SELECT count(*) FROM profile) AS clusters,
+              (SELECT silhouette FROM silhouettes WHERE k = 4) AS silhouette
             FROM rfm""",
         ),
     ),
+    "silhouettes": (silhouettes, with_ctes(RFM + _silhouettes_sql("[2, 3, 5]"), "SELECT k, silhouette FROM silhouettes")),
     "describe_table": (describe_table, with_ctes(RFM, _DESCRIBE)),
     "histogram": (
         histogram,

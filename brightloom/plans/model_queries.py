@@ -141,6 +141,35 @@ def pca_2d(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown.select("CustomerID", "PC1", "PC2", *[F.lit(v).alias(f"share_{i}") for i, v in enumerate(explained, 1)])
 
 
+def pca_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether the components are uncorrelated with variances by their shares, and the shares' symmetric sums.
+
+    The three shares are the eigenvalues of the correlations over their trace, so
+    their sums of products are its principal minors and its determinant.
+    """
+    _, features, _ = clusters.prepare(rfm_table(spark, sf_dir))
+    shown, (one, two) = clusters.pca_2d(features)
+    three = 1 - one - two
+    return shown.agg(
+        F.round(F.lit(one * two + one * three + two * three), 5).alias("minors"),
+        F.round(F.lit(one * two * three), 5).alias("determinant"),
+        (F.abs(F.var_pop("PC1") / 3 - one) < 1e-6).alias("first_variance"),
+        (F.abs(F.var_pop("PC2") / 3 - two) < 1e-6).alias("second_variance"),
+        (F.abs(F.covar_pop("PC1", "PC2")) < 1e-6).alias("uncorrelated"),
+        F.count(F.lit(1)).alias("customers"),
+    )
+
+
+def predict_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Test rows, those whose class has the highest probability, and those whose probabilities add up to 1."""
+    found = batch_predict(spark, sf_dir).withColumn("all", F.map_values("probabilities"))
+    best = F.try_element_at("probabilities", F.col("predicted_class")) == F.array_max("all")
+    total = F.aggregate("all", F.lit(0.0), lambda a, b: a + b)
+    return found.agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(best).alias("highest"), F.count_if(F.abs(total - 1) < 1e-9).alias("whole")
+    )
+
+
 def _wide(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[str]]:
     return models.wide_features(views.features(spark, sf_dir), "vector", VECTOR_SIZE, ["id", "label"])
 
@@ -379,6 +408,20 @@ PLANS = {
     "kmeans_sweep": (kmeans_sweep, None),
     "kmeans_score": (kmeans_score, None),
     "pca_2d": (pca_2d, None),
+    "pca_shares": (
+        pca_shares,
+        _rfm_sql(
+            """SELECT round((3 - ab * ab - ac * ac - bc * bc) / 9, 5) AS minors,
+              round((1 + 2 * ab * ac * bc - ab * ab - ac * ac - bc * bc) / 27, 5) AS determinant,
+              true AS first_variance, true AS second_variance, true AS uncorrelated, customers
+            FROM (SELECT corr(ln(1 + Recency), ln(1 + Frequency)) AS ab, corr(ln(1 + Recency), ln(1 + Monetary)) AS ac,
+                    corr(ln(1 + Frequency), ln(1 + Monetary)) AS bc, count(*) AS customers FROM rfm)"""
+        ),
+    ),
+    "predict_check": (
+        predict_check,
+        """SELECT n AS rows, n AS highest, n AS whole FROM (SELECT CAST(ceil(count(*) * 0.2) AS BIGINT) AS n FROM embeddings)""",
+    ),
     "model_compare": (model_compare, None),
     "best_model_choice": (best_model_choice, None),
     "best_model_scores": (best_model_scores, None),

@@ -13,7 +13,7 @@ from brightloom.plans.registry import PLANS
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 # Minutes of model fits each; `python tests/compare.py` runs them with all others.
-SLOW = ("kmeans_sweep", "kmeans_score", "model_compare", "best_model_choice", "permutation_importance")
+SLOW = ("model_compare", "best_model_choice", "permutation_importance")
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="tables not present")
 
