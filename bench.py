@@ -26,7 +26,7 @@ HEADLINE = (
     "grade_bands", "calc_binary", "catalogue_clean", "genre_counts", "tfidf_terms", "similar_items",
     "experiment_grid", "cache_lookup", "row_validation", "rubric_scores", "prompt_ranking", "blind_labels",
     "macro_metrics", "roc_auc", "roc_points", "cluster_quality", "scaled_features", "stratified_split",
-    "kmeans_score", "best_model_scores",
+    "kmeans_score", "best_model_scores", "kmeans_sweep", "business_summary",
 )
 
 
