@@ -28,7 +28,8 @@ DEFAULT_SLUG = "item"
 
 _BULLET = r"(?U)^[\s\x1c-\x1f]*(?:[-*+]|\d+[.)])[\s\x1c-\x1f]+"
 _PLACEHOLDER = r"\{\{|\}\}|\{[^{}]*\}|\{|\}"
-_FIELD = r"^\{[^{}.:!\[\]]*\}$"
+# name, conversion, fill, alignment, zero, width, precision of a field.
+_FIELD = r"(?s)^\{([^{}.:!\[\]]*)(!s)?(?::(?:([^{}])?([<>^]))?(0)?([0-9]*)(?:\.([0-9]+))?s?)?\}$"
 
 
 def blank_if_null(text: Column) -> Column:
@@ -127,31 +128,50 @@ def count_bullets(text: Column) -> Column:
     return F.size(marked).cast("long")
 
 
+def _padded(value: Column, mark: Column) -> Column:
+    """A value cut and filled as the field's format says; null where its numbers are out of range."""
+
+    def part(group: int) -> Column:
+        return F.regexp_extract(mark, _FIELD, group)
+
+    cut = F.when(part(7) == "", value).otherwise(F.substring(value, F.lit(1), part(7).try_cast("int")))
+    fill = F.when(part(3) != "", part(3)).when(part(5) != "", "0").otherwise(" ")
+    width = F.when(part(6) == "", 0).otherwise(part(6).try_cast("int"))
+    missing = F.when(width.isNotNull(), F.greatest(width - F.length(cut), F.lit(0)))
+    before = F.when(part(4) == ">", missing).when(part(4) == "^", F.floor(missing / 2).cast("int")).otherwise(0)
+    return F.concat(F.repeat(fill, before), cut, F.repeat(fill, missing - before))
+
+
 def render(text: Column, variables: Column) -> Column:
-    """Fill `{name}` from a map of strings, all or nothing.
+    """Fill `{name}`, `{name!s}` and `{name:fill align width .precision}` from a map of strings, all or nothing.
 
     Doubled braces stand for one brace. If a name is missing, a brace is left
-    over, or a field uses attributes, indexes, conversions, format specs or
-    positions, the text comes back unchanged. Filled values are never scanned
+    over, or a field uses attributes, indexes, other conversions, formats that
+    strings do not have, or positions, the text comes back unchanged. A null value
+    is `None`, which takes a format only after `!s`. Filled values are never scanned
     again, so a value that holds `{b}` stays as it is.
     """
     marks = F.regexp_extract_all(text, F.lit(_PLACEHOLDER), F.lit(0))
     pieces = F.split(text, _PLACEHOLDER)
 
     def name_of(mark: Column) -> Column:
-        return F.substring(mark, F.lit(2), F.length(mark) - 2)
+        return F.regexp_extract(mark, _FIELD, 1)
 
-    def usable(mark: Column) -> Column:
-        field = mark.rlike(_FIELD) & ~mark.rlike(r"^\{[0-9]*\}$")
-        return mark.isin("{{", "}}") | (field & F.map_contains_key(variables, name_of(mark)))
+    def own(mark: Column) -> Column:
+        return F.try_element_at(variables, name_of(mark))
 
     def value_of(mark: Column) -> Column:
         return (
             F.when(mark == "{{", "{")
             .when(mark == "}}", "}")
-            .otherwise(F.coalesce(F.try_element_at(variables, name_of(mark)), F.lit("None")))
+            .otherwise(F.when(mark.contains(":"), _padded(F.coalesce(own(mark), F.lit("None")), mark)).otherwise(F.coalesce(own(mark), F.lit("None"))))
         )
 
+    def usable(mark: Column) -> Column:
+        field = mark.rlike(_FIELD) & ~name_of(mark).rlike("^[0-9]*$") & F.map_contains_key(variables, name_of(mark))
+        formatted = own(mark).isNotNull() | ~mark.contains(":") | mark.endswith(":}") | mark.contains("!s")
+        return mark.isin("{{", "}}") | (field & formatted & value_of(mark).isNotNull())
+
     tail = F.slice(pieces, F.lit(2), F.size(marks))
     filled = F.zip_with(marks, tail, lambda mark, piece: F.concat(value_of(mark), piece))
     whole = F.concat(F.element_at(pieces, 1), F.array_join(filled, ""))

@@ -59,7 +59,7 @@ def test_text_stats(one):
         ("{{{a}}}", {"a": "1"}, "{1}"),
         ("open {", {}, "open {"),
         ("{0}", {"0": "1"}, "{0}"),
-        ("{a:>3}", {"a": "1"}, "{a:>3}"),
+        ("{a:>3}", {"a": "1"}, "  1"),
         ("plain", {}, "plain"),
         ("", {}, ""),
     ],
@@ -68,6 +68,22 @@ def test_render(one, template, variables, expected):
     assert one(text.render, template, variables, types=["string", "map<string,string>"]) == expected
 
 
+def test_render_formats_like_python(spark):
+    specs = ["", ":", ":5", ":<5", ":>5", ":^5", ":^6", ":*^7", ":<<4", ":05", ":>05", ":x<06", ":.2", ":>6.2", ":.0", ":5s", ":s",
+             "!s", "!s:>4", ":1", ":é>4", ": >4"]
+    other = [":d", ":+5", ":=5", ":,", "!r", "!x", "[0]", ".name", ":>5.", ":5.2f", ":99999999999"]
+    values = {"a": "abc", "e": "", "u": "é漢🙂", "n": None}
+    rows = [(f"<{{{name}{spec}}}> {{{{x}}}}",) for name in values for spec in specs + other]
+    df = spark.createDataFrame([(r[0], values) for r in rows], "t string, v map<string,string>")
+    for row in df.select("t", text.render(F.col("t"), F.col("v")).alias("out")).collect():
+        plain = not any(f"{o}}}" in row["t"] for o in other)
+        try:
+            expected = row["t"].format(**values) if plain else row["t"]
+        except TypeError:
+            expected = row["t"]
+        assert row["out"] == expected, row
+
+
 def test_inspect_and_secrets(one):
     found = one(text.inspect_prompt, "Explain {a} and list { b }? {c d}")
     assert found.placeholders == ["a", " b ", "c d"] and found.variables == ["a", "b"]
