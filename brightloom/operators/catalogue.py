@@ -9,6 +9,8 @@ from brightloom.functions import text
 from brightloom.operators.ordering import row_numbers
 from brightloom.operators.quality import lenient_number
 
+# Letters of a piece of a title in the search postings.
+GRAM = 3
 # Canonical columns, text columns in tag order and header aliases.
 CANONICAL = (
     "movie_id", "title", "genres", "overview", "keywords", "cast",
@@ -133,6 +135,57 @@ def search(catalogue: DataFrame, query: str, limit: int = 10, order_by: str = "m
     return catalogue.filter(held).orderBy(order_by).limit(limit)
 
 
+def title_postings(catalogue: DataFrame, order_by: str = "movie_id") -> DataFrame:
+    """(gram, id, position): the letters that start at every position of a normalised title, up to three.
+
+    The last two positions give shorter pieces, so titles of one or two letters
+    are listed too. Rows are placed by range of (gram, id) and sorted: written as
+    Parquet, a gram is read from the row groups whose bounds hold it, and a gram of
+    very many titles spreads over several files. Ids have to be unique.
+    """
+    key = F.col("key")
+    starts = F.when(F.length(key) > 0, F.sequence(F.lit(1), F.length(key)))
+    return (
+        catalogue.select(F.col(order_by).alias("id"), text.normalize_title(F.col("title")).alias("key"))
+        .select("id", "key", F.explode(starts).alias("position"))
+        .select(F.substring(key, F.col("position"), F.lit(GRAM)).alias("gram"), "id", "position")
+        .repartitionByRange("gram", "id")
+        .sortWithinPartitions("gram", "id", "position")
+    )
+
+
+def search_postings(
+    postings: DataFrame, catalogue: DataFrame, query: str, limit: int | None = 10, order_by: str = "movie_id"
+) -> DataFrame:
+    """What `search` finds, read from postings; all of it where `limit` is None.
+
+    Pieces of three letters that cover the query side by side (the last one may
+    overlap) have to stand at their distances from one common start, which proves
+    that the title holds the query. A query of one or two letters is looked up as
+    the beginning of a piece. Titles are read only for the ids found.
+    """
+    wanted = catalogue.sparkSession.range(1).select(text.normalize_title(text.strip(F.lit(query)))).first()[0]
+    if not query.strip() or not wanted:
+        return catalogue.orderBy(order_by) if limit is None else search(catalogue, "", limit, order_by)
+    if len(wanted) < GRAM:
+        held = postings.filter(F.col("gram").startswith(wanted)).select("id").distinct()
+    else:
+        offsets = sorted({*range(0, len(wanted) - GRAM + 1, GRAM), len(wanted) - GRAM})
+        pieces = {o: wanted[o:o + GRAM] for o in offsets}
+        starts = F.filter(
+            F.array(*[F.when(F.col("gram") == piece, F.col("position") - o) for o, piece in pieces.items()]),
+            lambda start: start.isNotNull(),
+        )
+        held = (
+            postings.filter(F.col("gram").isin(sorted(set(pieces.values()))))
+            .select("id", F.explode(starts).alias("start"))
+            .groupBy("id", "start").agg(F.count(F.lit(1)).alias("pieces"))
+            .filter(F.col("pieces") == len(pieces)).select("id").distinct()
+        )
+    first = (held if limit is None else held.orderBy("id").limit(limit)).withColumnRenamed("id", order_by)
+    return catalogue.join(first, order_by).select(*catalogue.columns).orderBy(order_by)
+
+
 def close_titles(catalogue: DataFrame, query: str, limit: int = 5, order_by: str = "movie_id") -> DataFrame:
     """Titles that share words with the query: most shared words first, then by title."""
     wanted = F.array_distinct(text.tokens(text.normalize_title(F.lit(query))))

@@ -12,6 +12,7 @@ branches of a plan.
 
 from __future__ import annotations
 
+import random
 from collections.abc import Mapping, Sequence
 from math import ceil, sqrt
 
@@ -250,3 +251,22 @@ def exact_medians(df: DataFrame, columns: Mapping[str, str], by: Sequence[str] =
             for source, output in columns.items()
         ]
     )
+
+
+def keyed_permutation(number: Column, size: int, key: str) -> Column:
+    """Where a permutation of 0 .. size - 1, fixed by the key, sends `number`.
+
+    Swap-or-not rounds: a round pairs x with k - x (mod size) and swaps a pair or
+    not by a hash of its larger member, so every round is a permutation for any
+    size and no number is walked back into range. Nothing is shuffled or stored.
+    """
+    draw = random.Random(f"{key}/{size}")
+    rounds = 6 * max(size, 2).bit_length()
+    keys = [F.struct(F.lit(i).alias("i"), F.lit(draw.randrange(max(size, 1))).cast("long").alias("k")) for i in range(rounds)]
+
+    def swapped(x: Column, own: Column) -> Column:
+        partner = F.pmod(own["k"] - x, F.lit(size).cast("long"))
+        chosen = F.xxhash64(F.lit(key), own["i"], F.greatest(x, partner)).bitwiseAND(F.lit(1).cast("long"))
+        return F.when(chosen == 1, partner).otherwise(x)
+
+    return F.aggregate(F.array(*keys), number.cast("long"), swapped)

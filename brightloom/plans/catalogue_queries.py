@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from brightloom.functions.words import ENGLISH_STOP_WORDS
 from brightloom.operators import catalogue, quality, similarity
 from brightloom.plans.sqltext import with_ctes
+from brightloom.session import written
 from brightloom.sources import views
 
 
@@ -48,7 +49,17 @@ def catalogue_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def title_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return catalogue.search(clean_parts(spark, sf_dir), " Red W", 20).select("movie_id", "title")
+    """The first 20 titles with the query, from stored postings of all titles."""
+    parts = clean_parts(spark, sf_dir)
+    postings = written(catalogue.title_postings(parts), "brightloom-titles")
+    return catalogue.search_postings(postings, parts, " Red W", 20).select("movie_id", "title")
+
+
+def title_search_short(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All titles with a query of one letter, from stored postings."""
+    parts = clean_parts(spark, sf_dir)
+    postings = written(catalogue.title_postings(parts), "brightloom-titles")
+    return catalogue.search_postings(postings, parts, "Z", None).select("movie_id", "title")
 
 
 def close_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -199,6 +210,9 @@ PLANS = {
         title_search,
         "SELECT p_partkey AS movie_id, p_name AS title FROM part WHERE contains(lower(p_name), 'red w') ORDER BY 1 LIMIT 20",
     ),
+    "title_search_short": (
+        title_search_short, "SELECT p_partkey AS movie_id, p_name AS title FROM part WHERE contains(lower(p_name), 'z')"
+    ),
     "close_titles": (
         close_titles,
         """

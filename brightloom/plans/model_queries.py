@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brightloom.operators import clusters, customers, experiments, metrics, models
+from brightloom.operators import clusters, customers, experiments, metrics, models, ordering
 from brightloom.plans.customer_queries import rfm_table
 from brightloom.plans.sqltext import with_ctes
-from brightloom.session import ensure_checkpoint_dir
+from brightloom.session import checkpointed, ensure_checkpoint_dir
 from brightloom.sources import io, views
 
 # The class names.
@@ -181,6 +182,15 @@ def _fitted(spark: SparkSession, sf_dir: str):
     return models.logistic_regression(names, train.count()).fit(train), test, names
 
 
+def _winner(spark: SparkSession, sf_dir: str):
+    """The model that cross-validation ranks first, fitted on the training rows."""
+    wide, names = _wide(spark, sf_dir)
+    split = models.stratified_split(wide, "id", "label")
+    train, test = split.filter(~F.col("is_test")).drop("is_test"), split.filter("is_test").drop("is_test")
+    name, model = models.fit_best(train, "id", names)
+    return name, model, test, names
+
+
 def model_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
     wide, names = _wide(spark, sf_dir)
     split = models.stratified_split(wide, "id", "label")
@@ -191,10 +201,7 @@ def model_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def best_model_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Test metrics of the model that cross-validation ranks first."""
-    wide, names = _wide(spark, sf_dir)
-    split = models.stratified_split(wide, "id", "label")
-    train, test = split.filter(~F.col("is_test")).drop("is_test"), split.filter("is_test").drop("is_test")
-    name, model = models.fit_best(train, "id", names)
+    name, model, test, _ = _winner(spark, sf_dir)
     return models.test_metrics(models.scored(model, test, ["label"])).withColumn("model", F.lit(name))
 
 
@@ -205,12 +212,29 @@ def best_model_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def permutation_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model, test, names = _fitted(spark, sf_dir)
+    """Importance of every feature for the model that cross-validation chose."""
+    _, model, test, names = _winner(spark, sf_dir)
     return models.permutation_importance(model, test, "id", names)
 
 
+def donor_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten keyed permutations of all order rows: how many numbers they hit and how far these reach."""
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select(F.col("o_orderkey").cast("double").alias("key"))
+    numbered = checkpointed(ordering.row_numbers(orders, "key", name="n"))
+    rows = numbered.count()
+    donors = [
+        numbered.select(F.lit(r).cast("long").alias("repeat"), ordering.keyed_permutation(F.col("n") - 1, rows, f"7/{r}").alias("donor"))
+        for r in range(10)
+    ]
+    return reduce(DataFrame.unionAll, donors).groupBy("repeat").agg(
+        F.count(F.lit(1)).alias("rows"), F.countDistinct("donor").alias("donors"),
+        F.min("donor").alias("first"), F.max("donor").alias("last"),
+    )
+
+
 def batch_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model, test, names = _fitted(spark, sf_dir)
+    """Class and probabilities of the test rows by the model that cross-validation chose."""
+    _, model, test, names = _winner(spark, sf_dir)
     return models.predict_batch(model, test, names, CLASS_NAMES, keep=["id", "label"])
 
 
@@ -426,6 +450,11 @@ PLANS = {
     "best_model_choice": (best_model_choice, None),
     "best_model_scores": (best_model_scores, None),
     "permutation_importance": (permutation_importance, None),
+    "donor_check": (
+        donor_check,
+        """SELECT r AS repeat, count(*) AS rows, count(DISTINCT o_orderkey) AS donors, CAST(0 AS BIGINT) AS first, count(*) - 1 AS last
+        FROM orders, range(10) AS t(r) GROUP BY r""",
+    ),
     "batch_predict": (batch_predict, None),
     "roundtrip_csv_json": (
         roundtrip_csv_json,

@@ -83,3 +83,17 @@ def test_composite_numbers_over_all_rows_use_no_window(spark):
     expected = sorted(((str(i % 10), i) for i in range(500)), key=lambda r: (-int(r[0]), r[1]))
     assert [(r["k"], r["id"]) for r in numbered.orderBy("k2").collect()] == expected
     assert ordering.composite_row_numbers(df.limit(0), ["id"]).count() == 0
+
+
+@pytest.mark.parametrize("size", [0, 1, 2, 3, 7, 64, 1000, 4097])
+def test_keyed_permutation(spark, size):
+    """Every key gives a permutation, another one per key, with no drift towards places."""
+    keys = [f"k{i}" for i in range(4)]
+    rows = spark.range(size).select(*[ordering.keyed_permutation(F.col("id"), size, k).alias(k) for k in keys]).toPandas()
+    for k in keys:
+        assert sorted(rows[k]) == list(range(size))
+    if size >= 1000:
+        assert rows.T.drop_duplicates().shape[0] == len(keys)
+        for k in keys:
+            assert (rows[k] == np.arange(size)).sum() < 10
+            assert abs(np.corrcoef(np.arange(size), rows[k])[0, 1]) < 0.12

@@ -1,5 +1,7 @@
 """Quality, customer and catalogue operators on small tables."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -75,6 +77,23 @@ def test_genres_search_close(spark):
     assert [r["title"] for r in catalogue.close_titles(table, "stellar inter").collect()] == ["Inter Stellar!", "other inter", "Stellar"]
 
 
+def test_title_postings_find_what_a_scan_finds(spark):
+    """Queries of every length, repeated letters, overlaps, blanks, letters outside ASCII, null and empty titles."""
+    draw = random.Random(3)
+    titles = ["".join(draw.choice("ab \u00e9!") for _ in range(draw.randrange(12))) for _ in range(300)]
+    titles += [None, "", "a", "ab", "aaaaaaa", "abababab", "Inter Stellar!", "x" * 5000 + "needle"]
+    table = spark.createDataFrame(list(enumerate(titles)), "movie_id long, title string").cache()
+    postings = catalogue.title_postings(table).cache()
+    for query in ("a", "b a", "abab", "aaaa", "!", " AB ", "needle", "inter st", "zz"):
+        want = [r["movie_id"] for r in catalogue.search(table, query, 1000).collect()]
+        got = [r["movie_id"] for r in catalogue.search_postings(postings, table, query, None).collect()]
+        assert got == want, query
+    assert [r["movie_id"] for r in catalogue.search_postings(postings, table, "aba", 3).collect()] == [
+        r["movie_id"] for r in catalogue.search(table, "aba", 3).collect()
+    ]
+    assert catalogue.search_postings(postings.limit(0), table.limit(0), "abc").count() == 0
+
+
 def test_histogram_edges(spark):
     bins = quality.histogram(spark.createDataFrame([(x,) for x in (0.0, 1.0, 4.0, 4.0)], "x double"), "x", 4).orderBy("bin").collect()
     assert [r["count"] for r in bins] == [1, 1, 0, 2]
