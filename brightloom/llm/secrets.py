@@ -3,8 +3,8 @@
 Each document gives candidate spans: the three base kinds, and long mixed tokens
 that look like keys. A candidate's value is hashed, and over the whole corpus the
 hashes are counted by distinct repositories and distinct owners. A value that
-many owners hold is an example that was copied around; a value that is held by
-few looks live. Key-like tokens that look live add their spans; base spans stay
+many owners hold, or that stands in many repositories, is an example that was
+copied around; a value that few places hold looks live. Key-like tokens that look live add their spans; base spans stay
 whatever their verdict.
 """
 
@@ -33,6 +33,7 @@ ASSIGN_LEAST, ACCESS_LEAST = 8, 16
 MIXED = re.compile(r"[A-Za-z0-9+/_=-]{20,}+")
 MIXED_BITS = 3.0
 MAX_OWNERS = 2
+MAX_REPOSITORIES = 8
 _SPAN = "struct<kind:string,start:int,end:int,value:binary>"
 
 
@@ -103,31 +104,37 @@ def _named(spans: Column) -> Column:
 
 def scan(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", owner: Column | None = None,
-    repository: Column | None = None, max_owners: int = MAX_OWNERS,
+    repository: Column | None = None, max_owners: int = MAX_OWNERS, max_repositories: int = MAX_REPOSITORIES,
 ) -> DataFrame:
     """Per row: doc_id, counts and digest of the base spans, all spans, and the verdicts.
 
     The owner of a document is its `source`, a repository the documents of one
     language in a source, unless columns are given. A value that more than
-    `max_owners` owners hold is an example, else it looks live. Columns n_live and
-    n_example count a row's candidates by verdict; `spans` has the base spans and
-    the key-like tokens that look live, by start, then kind. Null texts are empty
+    `max_owners` owners or `max_repositories` repositories hold is an example, else
+    it looks live. Columns n_live and n_example count a row's candidates by verdict;
+    `holders` names every candidate with its numbers of repositories and owners;
+    `spans` has the base spans and the key-like tokens that look live, by start,
+    then kind. Null texts are empty
     and have no span; a null owner is an owner; repeated rows are rows of their own.
     """
     owner = F.col("source") if owner is None else owner
     repository = F.struct("source", "lang") if repository is None else repository
     read = docs.select(F.col(doc_id).alias("doc_id"), owner.alias("owner"), repository.alias("repository"), F.col(text).alias("text"))
     rows = stored(candidates(read).withColumn("row", F.monotonically_increasing_id()), "candidates")
-    shared = ownership(rows).filter(F.col("owners") > max_owners).select("value")
-    # Only values held by many owners come back, to the documents that have them.
-    examples = (
-        rows.select("row", F.explode(F.array_distinct(F.transform("found", lambda s: s["value"]))).alias("value"))
-        .join(shared, "value").groupBy("row").agg(F.collect_set("value").alias("examples"))
+    # The counts come back to every place that holds the value; a row's are put in the order of its candidates.
+    counted = (
+        rows.select("row", F.posexplode("found").alias("at", "span")).select("row", "at", F.col("span.value").alias("value"))
+        .join(ownership(rows), "value").groupBy("row")
+        .agg(F.sort_array(F.collect_list(F.struct("at", "repositories", "owners"))).alias("counts"))
     )
-    copied = F.coalesce("examples", F.array().cast("array<binary>"))
+    judged = F.zip_with("found", F.coalesce("counts", F.array().cast("array<struct<at:int,repositories:bigint,owners:bigint>>")), lambda s, n: F.struct(
+        s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"),
+        n["repositories"].alias("repositories"), n["owners"].alias("owners"),
+        ((n["owners"] > max_owners) | (n["repositories"] > max_repositories)).alias("example"),
+    ))
     base = F.filter("found", lambda s: s["kind"] != TOKEN)
-    example = F.filter("found", lambda s: F.array_contains("copied", s["value"]))
-    kept = F.filter("found", lambda s: (s["kind"] != TOKEN) | ~F.array_contains("copied", s["value"]))
+    example = F.filter("found", lambda s: s["example"])
+    kept = F.filter("found", lambda s: (s["kind"] != TOKEN) | ~s["example"])
     place = F.array(*[F.lit(k) for k in (*KINDS, TOKEN)])
     ordered = F.transform(
         F.sort_array(F.transform(kept, lambda s: F.struct(s["start"].alias("start"), F.array_position(place, s["kind"]).alias("p"), s["end"].alias("end"), s["kind"].alias("kind")))),
@@ -137,7 +144,9 @@ def scan(
     def count(kind: str) -> Column:
         return F.size(F.filter("found", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
 
-    return rows.join(examples, "row", "left").withColumn("copied", copied).select(
+    holders = F.transform("found", lambda s: F.concat_ws(":", *[s[c].cast("string") for c in ("kind", "start", "end", "repositories", "owners")]))
+    return rows.join(counted, "row", "left").withColumn("found", judged).select(
         "doc_id", *[count(k) for k in KINDS], F.sha2(_named(base), 256).alias("base_sha256"), _named(ordered).alias("spans"),
         (F.size("found") - F.size(example)).cast("long").alias("n_live"), F.size(example).cast("long").alias("n_example"),
+        F.array_join(holders, ",").alias("holders"),
     )
