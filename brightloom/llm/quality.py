@@ -17,9 +17,8 @@ SYMBOLS = "#*$%&|<>"
 WINDOW = 5
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
-# A line is above its limit in a host when more documents have it than this number and this share of the host.
+# A line is above its limit in a host when more documents of it have the line than this number.
 LINE_DOCS = 20
-LINE_SHARE = 0.02
 # A document is depleted when less than this share of its words is left.
 LEFT_SHARE = 0.3
 
@@ -88,37 +87,47 @@ def statistics(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def host_lines(text: Column) -> Column:
-    """(hash, words) of each line with a word; letters in lower case, blanks in ends and runs dropped."""
-    lines = F.transform(F.split(F.lower(F.coalesce(text, F.lit(""))), "\n"), lambda line: words(line))
+    """(hash, words, at) of each line with a word; letters in lower case, blanks in ends and runs dropped.
+
+    `at` is the place of the line among all lines of the text, from 0.
+    """
+    lines = F.transform(
+        F.split(F.lower(F.coalesce(text, F.lit(""))), "\n"), lambda line, i: F.struct(words(line).alias("found"), i.alias("at"))
+    )
     return F.transform(
-        F.filter(lines, lambda found: F.size(found) > 0),
-        lambda found: F.struct(
-            F.xxhash64(F.array_join(found, " ")).alias("hash"), F.size(found).cast("long").alias("words")
+        F.filter(lines, lambda line: F.size(line["found"]) > 0),
+        lambda line: F.struct(
+            F.xxhash64(F.array_join(line["found"], " ")).alias("hash"), F.size(line["found"]).cast("long").alias("words"),
+            line["at"].alias("at"),
         ),
     )
 
 
-def common_lines(rows: DataFrame, line_docs: int = LINE_DOCS, line_share: float = LINE_SHARE) -> DataFrame:
-    """(host, hash, first): lines in more documents of their host than the limit, and the first document.
+def common_lines(rows: DataFrame, line_docs: int = LINE_DOCS) -> DataFrame:
+    """(host, hash, first): lines in more than `line_docs` documents of their host, and the first document.
 
-    `rows` has host, doc_id, row and lines. The limit is `line_docs` documents or
-    `line_share` of the host's documents, whichever is more. Counts are merged
-    before the shuffle, and hosts meet only the lines above `line_docs`.
+    `rows` has host, doc_id, row and lines. The limit is the same for hosts of
+    every size. Counts are merged before the shuffle.
     """
     once = rows.select("host", "doc_id", "row", F.explode(F.array_distinct(F.transform("lines", lambda x: x["hash"]))).alias("hash"))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row"))
-    counted = once.groupBy("host", "hash").agg(F.count(F.lit(1)).alias("docs"), first.alias("first")).filter(F.col("docs") > line_docs)
-    sizes = rows.groupBy("host").agg(F.count(F.lit(1)).alias("all"))
-    return (
-        counted.join(sizes, "host").filter(F.col("docs") > line_share * F.col("all"))
-        .select("host", "hash", F.col("first.row").alias("first"))
-    )
+    counted = once.groupBy("host", "hash").agg(F.count(F.lit(1)).alias("docs"), first.alias("first"))
+    return counted.filter(F.col("docs") > line_docs).select("host", "hash", F.col("first.row").alias("first"))
+
+
+def without_lines(text: Column, places: Column) -> Column:
+    """The text without the lines at these places, counted from 0."""
+
+    def joined(lines: Column) -> Column:
+        left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), places)
+        return F.array_join(F.transform(left, lambda i: F.get(lines, i)), "\n")
+
+    return let(F.split(text, "\n"), joined)
 
 
 def judged(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host: str = "source",
-    line_docs: int = LINE_DOCS, line_share: float = LINE_SHARE, left_share: float = LEFT_SHARE,
-    carry: bool = False,
+    line_docs: int = LINE_DOCS, left_share: float = LEFT_SHARE, carry: bool = False,
 ) -> DataFrame:
     """Per row: doc_id, the statistics, base_failed, n_removed_words and kept.
 
@@ -127,7 +136,8 @@ def judged(
     lines of their host. A line stays in the first document (smallest doc_id,
     null last) that has it, so the text of a group of copies is kept once. A null
     host is a host of its own, repeated rows count as documents, empty and null
-    texts fail. With `carry` the rows also have `doc`, all columns of `docs`.
+    texts fail. With `carry` the rows also have `doc`, all
+    columns of `docs`, and `gone`, the places of the removed lines (null for none).
     """
     columns = [F.struct(*docs.columns).alias("doc")] if carry else []
     read = docs.select(
@@ -139,11 +149,12 @@ def judged(
         .withColumn("row", F.monotonically_increasing_id()),
         "judged",
     )
-    common = common_lines(rows, line_docs, line_share)
-    found = rows.select("host", "row", F.explode("lines").alias("line")).select("host", "row", "line.hash", "line.words")
+    common = common_lines(rows, line_docs)
+    found = rows.select("host", "row", F.explode("lines").alias("line")).select("host", "row", "line.hash", "line.words", "line.at")
+    places = [F.collect_list("at").alias("gone")] if carry else []
     removed = (
         found.join(common, ["host", "hash"]).filter("row <> first")
-        .groupBy("row").agg(F.sum("words").alias("n_removed_words"))
+        .groupBy("row").agg(F.sum("words").alias("n_removed_words"), *places)
     )
     gone = F.coalesce("n_removed_words", F.lit(0)).cast("long")
     left = F.col("n_words") - F.col("n_removed_words")
@@ -154,9 +165,16 @@ def judged(
     )
 
 
-def keep_good(docs: DataFrame, **options: object) -> DataFrame:
-    """The rows of `docs` that are kept, unchanged and with all columns."""
-    return judged(docs, carry=True, **options).filter("kept").select("doc.*")
+def keep_good(docs: DataFrame, text: str = "text", **options: object) -> DataFrame:
+    """The rows of `docs` that are kept, with all columns; `text` without the lines above the limit.
+
+    The first document of a host that has such a line keeps it. Texts without
+    such lines are unchanged.
+    """
+    own = F.when(F.col("gone").isNull(), F.col("doc")[text]).otherwise(without_lines(F.col("doc")[text], F.col("gone")))
+    return judged(docs, text=text, carry=True, **options).filter("kept").select(
+        *[own.alias(c) if c == text else F.col("doc")[c].alias(c) for c in docs.columns]
+    )
 
 
 _BLANK = r"[\x20\x09-\x0D]"
@@ -186,8 +204,8 @@ lines AS (
          len(regexp_extract_all(l, '[^\x20\x09-\x0D]+')) AS words
   FROM (SELECT row, doc_id, host, unnest(bare) AS l FROM base)),
 common AS (
-  SELECT host, line, arg_min(row, (doc_id, row)) AS first FROM lines JOIN (SELECT host, count(*) AS n FROM texts GROUP BY host) USING (host)
-  GROUP BY host, line, n HAVING count(DISTINCT row) > {LINE_DOCS} AND count(DISTINCT row) > CAST({LINE_SHARE} AS DOUBLE) * n),
+  SELECT host, line, arg_min(row, (doc_id, row)) AS first FROM lines
+  GROUP BY host, line HAVING count(DISTINCT row) > {LINE_DOCS}),
 removed AS (
   SELECT row, CAST(sum(words) AS BIGINT) AS n FROM lines JOIN common USING (host, line) WHERE row <> first GROUP BY row),
 failed AS (

@@ -47,6 +47,33 @@ def test_secret_ownership(spark):
     assert secrets.scan(df.limit(0)).count() == 0
 
 
+def test_secret_repositories(spark):
+    """One owner: a value of nine repositories is an example, one of eight, or of one in many documents, is not."""
+    values = {"wide": "Qw3rTy9uIoP1aSdF5gHj2Kl", "near": "Zx8cVb6nMq4wEr2tYu7iOp0", "deep": "Lk4jHg6fDs8aPo0iUy2tRe4"}
+    rows = [(i, f"a {values['wide']}", "s0", f"r{i}") for i in range(9)]
+    rows += [(20 + i, f"a {values['near']} b {values['near']}", "s0", f"r{i}") for i in range(8)]
+    rows += [(40 + i, f"a {values['deep']}", "s0", "r0") for i in range(30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    by_id = {r["doc_id"]: r for r in secrets.scan(df).collect()}
+    assert (by_id[0]["spans"], by_id[0]["n_example"], by_id[0]["holders"]) == ("", 1, "token:2:25:9:1")
+    assert (by_id[20]["n_live"], by_id[20]["holders"]) == (2, "token:2:25:8:1,token:28:51:8:1")
+    assert (by_id[40]["spans"], by_id[40]["holders"]) == ("token:2:25", "token:2:25:1:1")
+
+
+def test_line_limit_is_the_same_for_every_host_size(spark):
+    """A line of 60 documents goes from 59 of them in a host of 60 and in one of 3,060, and out of the texts."""
+    own = "own{0} words{0} of{0} this{0} text{0} number{0} here{0} are{0} twelve{0} in{0} all{0} kinds{0}"
+    rows = [(h * 10_000 + i, f"h{h}", f"Shared  banner LINE\n\n{own.format(i)}\n") for h in (1, 2) for i in range(60)]
+    rows += [(30_000 + i, "h2", own.format(f"x{i}")) for i in range(3000)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    good = {r["doc_id"]: r["text"] for r in quality.keep_good(df).collect()}
+    for doc_id, _, text in rows:
+        first = doc_id in (10_000, 20_000)
+        assert good[doc_id] == (text if first else text.replace("Shared  banner LINE\n", "")), doc_id
+    few = spark.createDataFrame([(i, "h", "a banner line of the host\nsix words " + f"w{i} " * 4) for i in range(60)], df.select("doc_id", "source", "text").schema)
+    assert [r["doc_id"] for r in quality.keep_good(few).collect()] == [0]
+
+
 def plain_personal(text):
     found = [("email", m.start(), m.end()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
     for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text):
