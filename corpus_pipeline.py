@@ -17,7 +17,7 @@ def _recounted(docs: DataFrame) -> DataFrame:
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail the rules, or are depleted without the common lines of their source, go."""
-    return quality.keep_good(docs)
+    return _recounted(quality.keep_good(docs))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
