@@ -10,7 +10,9 @@ anew only until as many as the longest token agree with the old ones).
 
 Texts are cut at single blanks first. A cut there never parts a match of the
 pattern, so the ids of a blank-delimited word are found once per worker and
-reused; the memory of a worker is bounded by the `remembered` parameter.
+reused; the memory of a worker is bounded by the `remembered` parameter. The new
+words of many texts are encoded together: their prefixes grow by one byte at a
+time, all words at once.
 """
 
 from __future__ import annotations
@@ -29,6 +31,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 NEVER = 1 << 62
+TOGETHER = 256  # bytes of a match up to which it is worked out with others
+AT_ONCE = 1 << 20  # bytes of matches worked out at once
+SLOTS = 1 << 20  # remembered verdicts on pairs of tokens
+MIX = 0x1E3779B97F4A7C15  # spreads keys over slots
 # White space as in the Unicode property of that name.
 _WHITE = r"\t\n\x0b\f\r \x85\xa0  -     　"
 
@@ -64,6 +70,27 @@ class PrefixEncoder:
         self.endings.make_automaton()
         self.spines: tuple[dict, dict] = ({}, {})
         self.apart: dict[int, bool] = {}  # by first << 32 | second
+        self.sizes = np.zeros(max(self.bytes_of) + 1, np.int64)
+        self.sizes[list(self.bytes_of)] = list(map(len, self.bytes_of.values()))
+        self._grow_trie()
+        # The verdicts that were asked for last, one per slot.
+        self.slot_keys, self.slot_fits = np.full(SLOTS, -1, np.int64), np.zeros(SLOTS, bool)
+
+    def _grow_trie(self) -> None:
+        """The tokens as a trie: `steps` has node << 8 | byte in order, `nodes` where each leads, `tokens` what ends there."""
+        steps, tokens = {}, [-1]
+        for token, rank in self.ranks.items():
+            if rank in self.whole_only:
+                continue
+            node = 0
+            for byte in token:
+                node = steps.setdefault(node << 8 | byte, len(steps) + 1)
+                if node == len(tokens):
+                    tokens.append(-1)
+            tokens[node] = rank
+        found, nodes = np.array(list(steps), np.int64), np.array(list(steps.values()), np.int64)
+        order = np.argsort(found)
+        self.steps, self.nodes, self.tokens = found[order], nodes[order], np.array(tokens, np.int64)
 
     def _merged(self, token: bytes) -> list[bytes]:
         """The parts of a token before its last merge."""
@@ -159,6 +186,101 @@ class PrefixEncoder:
         return [whole] if whole is not None else self.read_back(self.prefixes(text)) if text else []
 
 
+    def _fits(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+        """`holds` of many pairs; every token holds at the start of a text (first -1)."""
+        keys = first << 32 | second
+        slots = ((keys ^ keys >> 29) * MIX >> 17) & (SLOTS - 1)
+        missing = np.flatnonzero((self.slot_keys[slots] != keys) & (first >= 0))
+        fits = self.slot_fits[slots] | (first < 0)
+        if len(missing):
+            asked, back = np.unique(keys[missing], return_inverse=True)
+            if len(self.apart) > 2_000_000:
+                self.apart.clear()
+            known, answers = self.apart, []
+            for key in asked.tolist():
+                answer = known.get(key)
+                if answer is None:
+                    answer = known[key] = self.holds(key >> 32, key & 0xFFFFFFFF)
+                answers.append(answer)
+            fits[missing] = np.array(answers, bool)[back]
+            # Two keys of one slot: both arrays are written in the same order, so the last one stands in both.
+            self.slot_keys[slots[missing]], self.slot_fits[slots[missing]] = keys[missing], fits[missing]
+        return fits
+
+    def _ending(self, data: np.ndarray, room: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(start, token) of all tokens in `data`; one that starts at a byte has at most `room` bytes."""
+        at, node, starts, tokens = np.arange(len(data)), np.zeros(len(data), np.int64), [], []
+        for size in range(1, self.longest + 1):
+            inside = room[at] >= size
+            at = at[inside]
+            if not len(at):
+                break
+            key = node[inside] << 8 | data[at + size - 1]
+            step = np.minimum(np.searchsorted(self.steps, key), len(self.steps) - 1)
+            hit = self.steps[step] == key
+            at, node = at[hit], self.nodes[step[hit]]
+            token = self.tokens[node]
+            starts.append(at[token >= 0])
+            tokens.append(token[token >= 0])
+        return np.concatenate(starts), np.concatenate(tokens)
+
+    def prefixes_of_all(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The last tokens of all prefixes of many texts, and where each text begins in them (its empty prefix)."""
+        sizes = np.array(list(map(len, texts)), np.int64)
+        stops = np.cumsum(sizes)
+        data, owner = np.frombuffer(b"".join(texts), np.uint8), np.repeat(np.arange(len(texts)), sizes)
+        begin = stops - sizes
+        starts, tokens = self._ending(data, stops[owner] - np.arange(len(data)))
+        ends = starts - begin[owner[starts]] + self.sizes[tokens]
+        order = np.argsort(ends.astype(np.uint16), kind="stable")
+        starts, tokens = starts[order], tokens[order]
+        before = starts + owner[starts]
+        last = np.full(len(data) + len(texts), -1, np.int64)
+        borders = np.searchsorted(ends[order], np.arange(1, int(sizes.max()) + 2))
+        for low, high in zip(borders, borders[1:]):
+            fits = self._fits(last[before[low:high]], tokens[low:high])
+            own = tokens[low:high][fits]
+            last[before[low:high][fits] + self.sizes[own]] = own
+        firsts = begin + np.arange(len(texts))
+        if (last < 0).sum() > len(texts):
+            raise ValueError("the vocabulary cannot encode every byte of the texts")
+        return last, firsts
+
+    def encode_all(self, texts: list[bytes]) -> tuple[bytes, list[int]]:
+        """The ids of many matches, one after the other as little-endian u32, and the byte offsets where each begins and ends.
+
+        Matches of up to `TOGETHER` bytes that are no token are worked out together, longer ones alone.
+        """
+        whole = list(map(self.ranks.get, texts))
+        shared = [i for i, (w, t) in enumerate(zip(whole, texts)) if w is None and len(t) <= TOGETHER]
+        alone = {i: self.encode(t) for i, (w, t) in enumerate(zip(whole, texts)) if w is None and len(t) > TOGETHER}
+        counts = np.ones(len(texts), np.int64)
+        for i, ids in alone.items():
+            counts[i] = len(ids)
+        rounds = []
+        held = np.cumsum([len(texts[i]) for i in shared]) // AT_ONCE
+        for group in np.split(np.array(shared, np.int64), np.flatnonzero(np.diff(held)) + 1) if shared else ():
+            own = [texts[i] for i in group.tolist()]
+            last, firsts = self.prefixes_of_all(own)
+            match, at, back = group, firsts + list(map(len, own)), 0
+            while len(match):
+                ids, back = last[at], back + 1
+                rounds.append((back, match, ids))
+                counts[match] = back
+                at = at - self.sizes[ids]
+                left = at > firsts
+                match, at, firsts = match[left], at[left], firsts[left]
+        stops = np.cumsum(counts)
+        out = np.zeros(int(counts.sum()), "<u4")
+        plain = [i for i, w in enumerate(whole) if w is not None]
+        out[stops[plain] - 1] = [whole[i] for i in plain]
+        for back, match, ids in rounds:
+            out[stops[match] - back] = ids
+        for i, ids in alone.items():
+            out[stops[i] - len(ids) : stops[i]] = ids
+        return out.tobytes(), [0, *(stops * 4).tolist()]
+
+
 class TextEncoder:
     """Whole texts to ids: matches of a pattern, each by itself, with remembered words."""
 
@@ -167,41 +289,62 @@ class TextEncoder:
             pairs = (line.split() for line in file if line.strip())
             self.encoder = PrefixEncoder({base64.b64decode(token): int(rank) for token, rank in pairs})
         self.pattern = compiled(pattern)
-        self.blank_ends = regex.compile(rf"^[{_WHITE}]|[{_WHITE}]$|^$")
+        white = regex.compile(f"[{_WHITE}]")
+        self.white = frozenset(c for c in map(chr, range(0x3001)) if white.match(c))
         self.remembered = remembered
-        self.matches: dict[str, bytes] = {}
-        self.words: dict[str, bytes | None] = {}  # None: a cut beside this word would part a run of white space
+        self.words: dict[str, bytes] = {}
+        self.parting: set[str] = set()  # words beside which a cut would part a run of white space
         self.table = [self.encoder.bytes_of.get(i, b"") for i in range(max(self.encoder.bytes_of) + 1)]
         self.digits = list(map(str, range(len(self.table))))
 
-    def _match(self, match: str) -> bytes:
-        found = self.matches.get(match)
-        if found is None:
-            found = array("I", self.encoder.encode(match.encode())).tobytes()
-            if len(match) <= 64:
-                if len(self.matches) > self.remembered:
-                    self.matches.clear()
-                self.matches[match] = found
-        return found
-
-    def _piece(self, piece: str) -> bytes:
-        return b"".join(map(self._match, self.pattern.findall(piece)))
-
-    def _word(self, word: str) -> bytes | None:
-        return None if self.blank_ends.search(word) else self._piece(" " + word)
+    def _parts(self, word: str) -> bool:
+        """Whether cuts at the blanks beside a word are no cuts inside white space."""
+        return bool(word) and word[0] not in self.white and word[-1] not in self.white
 
-    def encode(self, text: str) -> np.ndarray:
-        first, *rest = text.split(" ")
+    def encode_batch(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text."""
         if len(self.words) > self.remembered:
             self.words.clear()
-        words, passing = self.words, {}
-        for word in set(rest).difference(words):
+            self.parting.clear()
+        split = [text.split(" ") for text in texts]
+        firsts = [s.pop(0) for s in split]
+        missing = list(set().union(*split).difference(self.words, self.parting))
+        self.parting.update(w for w in missing if not self._parts(w))
+        missing, passing = [w for w in missing if w not in self.parting], {}
+        cut = [not s or self._parts(f) and self.parting.isdisjoint(s) for f, s in zip(firsts, split)]
+        # The matches of all new words: exactly the first of each word begins with a blank.
+        matches = self.pattern.findall(" " + " ".join(missing)) if missing else []
+        heads = [i for i, m in enumerate(matches) if m[0] == " "]
+        ends = [len(matches)]
+        for text, first, whole in zip(texts, firsts, cut):
+            matches += self.pattern.findall(first if whole else text)
+            ends.append(len(matches))
+        raw, at = self.encoder.encode_all([m.encode() for m in matches])
+        for word, start, stop in zip(missing, heads, [*heads, ends[0]][1:], strict=True):
             # A word without blanks that is longer than any usual one would only fill the memory.
-            (words if len(word) <= 64 else passing)[word] = self._word(word)
-        found = [words[w] if w in words else passing[w] for w in rest] if passing else list(map(words.__getitem__, rest))
-        if None in found or rest and (not first or self.blank_ends.search(first)):
-            return np.frombuffer(self._piece(text), "<u4")
-        return np.frombuffer(b"".join([self._piece(first), *found]), "<u4")
+            (self.words if len(word) <= 64 else passing)[word] = raw[at[start] : at[stop]]
+        found = []
+        for start, stop, rest, whole in zip(ends, ends[1:], split, cut):
+            own = [raw[at[start] : at[stop]]]
+            if whole:
+                own += [self.words[w] if w in self.words else passing[w] for w in rest] if passing else map(self.words.__getitem__, rest)
+            found.append(np.frombuffer(b"".join(own), "<u4"))
+        return found
+
+    def encode(self, text: str) -> np.ndarray:
+        return self.encode_batch([text])[0]
+
+    def encode_many(self, texts: list[str], together: int = 4_000_000) -> Iterator[np.ndarray]:
+        """The ids of each text; some `together` characters at a time are worked out as one batch."""
+        held, size = [], 0
+        for text in texts:
+            held.append(text)
+            size += len(text)
+            if size >= together:
+                yield from self.encode_batch(held)
+                held, size = [], 0
+        if held:
+            yield from self.encode_batch(held)
 
     def decimal(self, ids: np.ndarray) -> str:
         """Decimal ids joined by commas."""
@@ -230,7 +373,7 @@ def encode(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = text_encoder(ranks_path, pattern, remembered)
         for batch in batches:
-            found = [encoder.encode(t.as_py() or "") for t in batch.column("_text")]
+            found = list(encoder.encode_many([t or "" for t in batch.column("_text").to_pylist()]))
             arrays = [
                 pa.ListArray.from_arrays(
                     np.cumsum([0, *map(len, found)]).astype("i4"), np.concatenate([np.zeros(0, "u4"), *found]).astype("i4")
@@ -285,8 +428,7 @@ def encode_digests(
         encoder = text_encoder(ranks_path, pattern, remembered)
         for batch in batches:
             counts, hashed, decoded = [], [], []
-            for value in batch.column("_text"):
-                ids = encoder.encode(value.as_py() or "")
+            for ids in encoder.encode_many([t or "" for t in batch.column("_text").to_pylist()]):
                 counts.append(len(ids))
                 hashed.append(hashlib.sha256(encoder.decimal(ids).encode()).hexdigest())
                 decoded.append(hashlib.sha256(encoder.decode(ids)).hexdigest())

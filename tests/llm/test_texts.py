@@ -48,6 +48,26 @@ def test_bpe_of_odd_texts(encoder, library):
         assert encoder.decode(ids) == text.encode()
 
 
+def test_bpe_of_batches(library):
+    rnd = random.Random(3)
+    syllables = ["an", "der", "é", "ция", "漢", "***", "'s", "12", "\n", ".", "🙂", "x" * 70]
+    words = ["".join(rnd.choice(syllables) for _ in range(rnd.randint(0, 6))) for _ in range(4_000)]
+    texts = [" ".join(rnd.choice(words) for _ in range(rnd.randint(0, 30))) for _ in range(2_000)] + ["", " ", "x" * 9_000]
+    # A memory that is cleared between batches gives the same ids as one that holds all words.
+    for remembered, together in ((500_000, 4_000_000), (50, 300)):
+        found = bpe.TextEncoder(RANKS, public_tokenizers.PATTERN, remembered).encode_many(texts, together)
+        assert [f.tolist() for f in found] == list(map(library.encode_ordinary, texts))
+
+
+def test_bpe_shared_slots_and_groups(library, monkeypatch):
+    monkeypatch.setattr(bpe, "SLOTS", 4)
+    monkeypatch.setattr(bpe, "AT_ONCE", 64)
+    rnd = random.Random(4)
+    texts = [" ".join("".join(rnd.choice("aeiounrstl") for _ in range(rnd.randint(3, 20))) for _ in range(50)) for _ in range(50)]
+    found = bpe.TextEncoder(RANKS, public_tokenizers.PATTERN, 500_000).encode_many(texts)
+    assert [f.tolist() for f in found] == list(map(library.encode_ordinary, texts))
+
+
 def test_bpe_appends_and_edits(encoder):
     rnd, own = random.Random(2), encoder.encoder
     for _ in range(500):
