@@ -12,7 +12,8 @@ Layout, little-endian: header `PFB1`, then u32 block size, u64 documents, u64
 ids, u64 blocks, u64 exceptions; document table (u8 has-id flags, i64 doc_ids,
 u32 lengths); block index (u64 start of the packed bits from the first block's,
 u64 first exception); u32 minima; u8 widths; exceptions (u16 positions, u32 high
-bits); packed bits, each block padded to whole bytes.
+bits); packed bits in u64 words, 64 values in as many words as their width, the
+first value lowest, the last group of a block filled with zeros.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from __future__ import annotations
 import functools
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 from uuid import uuid4
 
@@ -36,6 +38,40 @@ MAGIC = b"PFB1"
 _HEADER = struct.Struct("<4sIQQQQ")
 BLOCK_IDS = 1024
 SHARE = 0.9
+MARKS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"  # after letters they start a new piece; an apostrophe may not
+
+
+def _packed_bytes(widths: np.ndarray, block_ids: int) -> np.ndarray:
+    """Bytes of the packed bits of blocks of the given widths."""
+    return widths.astype(np.int64) * (-(-block_ids // 64) * 8)
+
+
+def _to_words(values: np.ndarray, width: int) -> np.ndarray:
+    """The rows of `values` (below 2**width) as rows of bytes: every 64 values fill `width` words of 64 bits."""
+    rows, n = values.shape
+    lanes = np.zeros((rows, -(-n // 64) * 64), np.uint64)
+    lanes[:, :n] = values
+    lanes = np.ascontiguousarray(lanes.reshape(-1, 64).T)
+    out = np.zeros((width, lanes.shape[1]), "<u8")
+    for k in range(64):
+        word, shift = divmod(k * width, 64)
+        out[word] |= lanes[k] << np.uint64(shift)
+        if shift + width > 64:
+            out[word + 1] |= lanes[k] >> np.uint64(64 - shift)
+    return np.ascontiguousarray(out.T).view(np.uint8).reshape(rows, -1)
+
+
+def _from_words(lines: np.ndarray, width: int, n: int) -> np.ndarray:
+    """The values that `_to_words` packed."""
+    words = np.ascontiguousarray(lines.view("<u8").reshape(-1, width).T)
+    out, keep = np.empty((64, words.shape[1]), np.uint32), np.uint64((1 << width) - 1)
+    for k in range(64):
+        word, shift = divmod(k * width, 64)
+        value = words[word] >> np.uint64(shift)
+        if shift + width > 64:
+            value |= words[word + 1] << np.uint64(64 - shift)
+        out[k] = value & keep
+    return np.ascontiguousarray(out.T).reshape(len(lines), -1)[:, :n]
 
 
 def pack_blocks(ids: np.ndarray, block_ids: int, share: float) -> tuple[np.ndarray, ...]:
@@ -49,17 +85,14 @@ def pack_blocks(ids: np.ndarray, block_ids: int, share: float) -> tuple[np.ndarr
     at = min(block_ids - 1, int(share * block_ids))
     typical = np.partition(above, at, axis=1)[:, at] if n else np.zeros(0, np.uint32)
     widths = np.ceil(np.log2(typical.astype(np.float64) + 1)).astype(np.uint8)
-    high = (above.astype(np.uint64) >> widths[:, None].astype(np.uint64)).astype(np.uint32)
+    high = np.where(widths[:, None] < 32, above >> np.minimum(widths, 31)[:, None], 0).astype(np.uint32)
     rows, columns = np.nonzero(high)
-    sizes = (widths.astype(np.int64) * block_ids + 7) // 8
-    starts = np.concatenate([[0], np.cumsum(sizes)]).astype(np.uint64)
+    starts = np.concatenate([[0], np.cumsum(_packed_bytes(widths, block_ids))]).astype(np.uint64)
     packed = np.zeros(int(starts[-1]), np.uint8)
     for width in np.unique(widths):
         chosen = np.flatnonzero(widths == width)
         for part in np.array_split(chosen, max(1, len(chosen) // 64)) if width else ():
-            low = above[part].astype(">u4").view(np.uint8).reshape(len(part), block_ids, 4)
-            bits = np.unpackbits(low, axis=2)[:, :, 32 - int(width) :].reshape(len(part), -1)
-            lines = np.packbits(bits, axis=1)
+            lines = _to_words(above[part] & np.uint32((1 << int(width)) - 1), int(width))
             packed[starts[part].astype(np.int64)[:, None] + np.arange(lines.shape[1])] = lines
     first = np.concatenate([[0], np.cumsum(np.bincount(rows, minlength=n))]).astype(np.uint64)
     return minima, widths, starts, packed, first, columns.astype(np.uint16), high[rows, columns]
@@ -107,12 +140,9 @@ class TokenFile:
         for width in np.unique(widths):
             chosen = np.flatnonzero(widths == width)
             for part in np.array_split(chosen, max(1, len(chosen) // 64)) if width else ():
-                size = (int(width) * self.block_ids + 7) // 8
+                size = int(_packed_bytes(width, self.block_ids))
                 lines = self.packed[self.starts[blocks[part]].astype(np.int64)[:, None] + np.arange(size)]
-                bits = np.unpackbits(lines, axis=1)[:, : self.block_ids * int(width)]
-                wide = np.zeros((len(part), self.block_ids, 32), np.uint8)
-                wide[:, :, 32 - int(width) :] = bits.reshape(len(part), self.block_ids, int(width))
-                out[part] = np.packbits(wide, axis=2).view(">u4")[:, :, 0]
+                out[part] = _from_words(lines, int(width), self.block_ids)
         counts = (self.first[blocks + 1] - self.first[blocks]).astype(np.int64)
         if counts.sum():
             row = np.repeat(np.arange(len(blocks)), counts)
@@ -139,50 +169,57 @@ class WordTokenizer:
     """
 
     def __init__(self, path: str, remembered: int):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        # For words that are lower-case letters parted by blanks: the same model without the search for pieces.
+        self.plain = Tokenizer(self.tokenizer.model)
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        )
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.words: dict[bytes, bytes] = {}
         self.remembered = remembered
 
-    def _library(self, texts: list[str]) -> list[np.ndarray]:
+    def _library(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(f.ids, np.uint32) for f in found]
+        return [array("I", f.ids).tobytes() for f in found]
 
     def _letters(self, words: list[bytes]) -> None:
         """Words of letters only, many in one call: each ends in the only token with a word end."""
         for at in range(0, len(words), 500):
             chunk = words[at : at + 500]
-            ids = self._library([b" ".join(chunk).decode("latin-1")])[0]
-            stops = (np.flatnonzero(self.ends[ids]) + 1) * 4
-            raw, start = ids.tobytes(), 0
+            found = self.plain.encode_batch_fast([b" ".join(chunk).decode("latin-1")], add_special_tokens=False)[0]
+            raw, start = array("I", found.ids).tobytes(), 0
+            stops = (np.flatnonzero(self.ends[np.frombuffer(raw, np.uint32)]) + 1) * 4
             for word, stop in zip(chunk, stops.tolist(), strict=True):
                 self.words[word] = raw[start:stop]
                 start = stop
 
     def learn(self, missing: set[bytes]) -> None:
-        """Remember the ids of words. A mark after a letter starts a piece of its own."""
-        known, marks = self.words, (b".", b",", b"!", b"?", b";", b":")
-        letters, others, joined = set(), [], []
+        """Remember the ids of words. Marks after letters are a piece of their own."""
+        known, letters, tails, others, joined = self.words, set(), set(), [], []
         for word in missing:
-            head = word[:-1] if word.endswith(marks) else word
+            head = word.rstrip(MARKS)
             if head and head.decode("latin-1").isalpha():
                 if head not in known:
                     letters.add(head)
-                if head is not word:
-                    joined.append(word)
+                if len(head) < len(word):
+                    tail = word[len(head) :]
+                    joined.append((word, head, tail))
+                    if tail not in known:
+                        tails.add(tail)
             else:
                 others.append(word)
-        others += [m for m in marks if m not in known]
-        self._letters(sorted(letters))
+        self._letters(list(letters))
+        others += tails.difference(others)
         for word, ids in zip(others, self._library([w.decode("latin-1") for w in others])):
-            known[word] = ids.tobytes()
-        for word in joined:
-            known[word] = known[word[:-1]] + known[word[-1:]]
+            known[word] = ids
+        for word, head, tail in joined:
+            known[word] = known[head] + known[tail]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian u32."""
@@ -197,7 +234,7 @@ class WordTokenizer:
         missing = set().union(*(s for s in split if s is not None)).difference(self.words)
         self.learn(missing)
         whole = iter(self._library([t for t, s in zip(texts, split) if s is None]))
-        return [next(whole).tobytes() if s is None else b"".join(map(self.words.__getitem__, s)) for s in split]
+        return [next(whole) if s is None else b"".join(map(self.words.__getitem__, s)) for s in split]
 
 
 @functools.cache
