@@ -7,7 +7,8 @@ sources, so that each stretch of the schedule holds every source close to its
 share. The slots of a source are ranked; the slot of rank r takes the source's
 block r, and after its last block the source starts again. The last block of a
 source is cut where its target is reached; slots that the sequence gives a source
-too many or too few are left out or follow at the end.
+too many or too few are left out or follow at the end. `mix_blocks` returns the
+blocks with their positions in this order, `mix` the documents that they are of.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from brightloom.llm.shared import partitions, stored, word_count, words
+from brightloom.llm.shared import let, partitions, stored, word_count, words
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -81,7 +82,7 @@ def offsets(rows: DataFrame) -> DataFrame:
         "key", "one", "two",
         (F.col("one_start") + F.coalesce(F.sum("n").over(before(["key", "one"], "two")), F.lit(0))).alias("two_start"),
     )
-    own = F.coalesce(F.sum("size").over(before(["key", "one", "two"], "digest", "row")), F.lit(0))
+    own = F.coalesce(F.sum("size").over(before(["key", "one", "two"], "digest", "size", "mark", "row")), F.lit(0))
     return (
         rows.join(two_starts, ["key", "one", "two"])
         .withColumn("start", F.col("two_start") + own)
@@ -108,7 +109,8 @@ def schedule(goals: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     """(position, key, pass, block, low, high): which words of a source's order each slot takes.
 
     `goals` has one row per source: key, source_size, target. Blocks count from 0
-    in every pass; [low, high) are word offsets in the pass.
+    in every pass; [low, high) are word offsets in the pass. No two slots have one
+    position; those of slots that are left out stay free.
     """
     size, goal = F.col("source_size"), F.col("goal")
     quotas = (
@@ -121,7 +123,9 @@ def schedule(goals: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     )
     running = Window.orderBy("key").rowsBetween(Window.unboundedPreceding, -1)
     shares = stored(
-        quotas.withColumn("slots", F.sum("quota").over(Window.partitionBy()))
+        quotas.withColumn("nth", F.row_number().over(Window.orderBy("key")) - 1)
+        .withColumn("sources", F.count(F.lit(1)).over(Window.partitionBy()))
+        .withColumn("slots", F.sum("quota").over(Window.partitionBy()))
         .withColumn("from", F.coalesce(F.sum("quota").over(running), F.lit(0)) / F.col("slots"))
         .withColumn("to", (F.coalesce(F.sum("quota").over(running), F.lit(0)) + F.col("quota")) / F.col("slots")),
         "shares",
@@ -144,12 +148,12 @@ def schedule(goals: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     ranked = placed.join(starts, ["key", "stretch"]).select(
         "key", "position", (F.row_number().over(inside) - 1 + F.col("first")).alias("rank")
     )
-    # Slots that a source lacks come after all others.
+    # Slots that a source lacks come after all others, one of each source in turn.
     found = counts.groupBy("key").agg(F.sum("n").alias("found"))
     late = (
         shares.join(found, "key", "left").withColumn("found", F.coalesce("found", F.lit(0))).filter("found < quota")
-        .select("key", F.explode(F.sequence(F.col("found"), F.col("quota") - 1)).alias("rank"))
-        .select("key", (F.lit(slots) + F.col("rank")).alias("position"), "rank")
+        .select("key", "nth", "sources", "found", F.explode(F.sequence(F.col("found"), F.col("quota") - 1)).alias("rank"))
+        .select("key", (F.lit(slots) + (F.col("rank") - F.col("found")) * F.col("sources") + F.col("nth")).alias("position"), "rank")
     )
     low = F.col("block") * block_words
     left = F.col("goal") - F.col("pass") * size
@@ -163,23 +167,42 @@ def schedule(goals: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     )
 
 
-def _plan(rows: DataFrame, block_words: int, **goal: object) -> DataFrame:
-    """Per stored row (`row`, `doc_id`, `key`, `size`): source_size, target and the words taken."""
-    goals = stored(targets(rows.groupBy("key").agg(F.sum("size").alias("source_size")), **goal), "goals")
+def _sized(docs: DataFrame, doc_id: str, text: str, source: str, row: Column) -> DataFrame:
+    """(row, doc_id, mark, key, size): what the plan needs of every document; `mark` is a hash of the text."""
+    return docs.select(
+        row.alias("row"), F.col(doc_id).alias("doc_id"), F.xxhash64(F.col(text)).alias("mark"),
+        source_key(F.col(source)).alias("key"), word_count(F.col(text)).alias("size"),
+    )
+
+
+def _goals(rows: DataFrame, **goal: object) -> DataFrame:
+    return stored(targets(rows.groupBy("key").agg(F.sum("size").alias("source_size")), **goal), "goals")
+
+
+def _spans(rows: DataFrame, goals: DataFrame, block_words: int) -> DataFrame:
+    """(row, position, pass, low, high): the words [low, high) of a document that a slot takes."""
+    # Null ids are told apart by their texts: else all of them would sort in one place.
+    name = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("null "), F.col("mark").cast("string")))
     placed = stored(
-        offsets(rows.filter("size > 0").withColumn("digest", F.md5(F.concat_ws("|", F.lit(SEED), F.col("doc_id").cast("string"))))),
-        "placed",
+        offsets(rows.filter("size > 0").withColumn("digest", F.md5(F.concat_ws("|", F.lit(SEED), name)))), "placed"
     )
+    start, size = F.col("start"), F.col("size")
     touched = placed.select(
         "row", "key", "start", "size",
-        F.explode(F.sequence(F.floor(F.col("start") / block_words), F.floor((F.col("start") + F.col("size") - 1) / block_words))).alias("block"),
-    )
-    overlap = F.least("high", F.col("start") + F.col("size")) - F.greatest("low", "start")
-    slots = schedule(goals, block_words).select("key", "block", "low", "high")
-    taken = (
-        touched.join(slots, ["key", "block"]).withColumn("words", overlap).filter("words > 0")
-        .groupBy("row").agg(F.sum("words").alias("taken"))
+        F.explode(F.sequence(F.floor(start / block_words), F.floor((start + size - 1) / block_words))).alias("block"),
     )
+    slots = schedule(goals, block_words)
+    return (
+        touched.join(slots, ["key", "block"])
+        .select("row", "position", "pass", (F.greatest("low", "start") - start).alias("low"), (F.least("high", start + size) - start).alias("high"))
+        .filter("low < high")
+    )
+
+
+def _plan(rows: DataFrame, block_words: int, **goal: object) -> DataFrame:
+    """Per stored row (`row`, `doc_id`, `key`, `size`): source_size, target and the words taken."""
+    goals = _goals(rows, **goal)
+    taken = _spans(rows, goals, block_words).groupBy("row").agg(F.sum(F.col("high") - F.col("low")).alias("taken"))
     return (
         rows.join(taken, "row", "left").join(goals, "key")
         .withColumn("taken", F.coalesce("taken", F.lit(0)).cast("long"))
@@ -194,13 +217,11 @@ def mix_counts(
 
     A null text has no words. Null sources are one source, the last. Documents
     without words are never taken. Repeated rows and null doc_ids count as
-    documents of their own, in the order they are stored in; the order of the
-    others follows from the ids alone, so reruns agree. Other columns are not read.
+    documents of their own. The order follows from the ids, then the sizes and
+    texts, so reruns agree, also when the rows are stored in another order. Other
+    columns are not read.
     """
-    rows = docs.select(
-        F.monotonically_increasing_id().alias("row"), F.col(doc_id).alias("doc_id"),
-        source_key(F.col(source)).alias("key"), word_count(F.col(text)).alias("size"),
-    )
+    rows = _sized(docs, doc_id, text, source, F.monotonically_increasing_id())
     return _plan(stored(rows, "sizes"), block_words, **goal).select("doc_id", "size", "source_size", "target", "taken")
 
 
@@ -215,9 +236,7 @@ def mix(
     """
     numbered = stored(docs.select(F.monotonically_increasing_id().alias("row"), F.struct(*docs.columns).alias("doc")), "numbered")
     inner = F.col("doc")
-    rows = numbered.select(
-        "row", inner[doc_id].alias("doc_id"), source_key(inner[source]).alias("key"), word_count(inner[text]).alias("size")
-    )
+    rows = _sized(numbered, f"doc.{doc_id}", f"doc.{text}", f"doc.{source}", F.col("row"))
     taken = _plan(stored(rows, "sizes"), block_words, **goal).filter("taken > 0").select("row", "size", "taken")
     parts = F.filter(
         F.array(F.least("taken", "size"), F.least(F.col("taken") - F.col("size"), F.col("size"))), lambda n: n > 0
@@ -232,6 +251,39 @@ def mix(
     )
 
 
+def mix_blocks(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source",
+    block_words: int = BLOCK_WORDS, position: str = "position", **goal: object,
+) -> DataFrame:
+    """The mix as blocks in the order of the schedule: all columns of `docs`, `position` and `first_word`.
+
+    A block of `block_words` words may hold the end of one document and the start
+    of the next: there is one row per block and document, its text the words of
+    that document in the block, parted by blanks, and `first_word` the number of
+    the document's words before them. Sort by `position` for the mix itself: every
+    stretch of positions holds each source close to its share. A null text, or
+    one without words, has no rows. Columns of `docs` that are called `position`
+    or `first_word` are replaced. An empty table gives no rows.
+    """
+    numbered = stored(docs.select(F.monotonically_increasing_id().alias("row"), F.struct(*docs.columns).alias("doc")), "numbered")
+    rows = stored(_sized(numbered, f"doc.{doc_id}", f"doc.{text}", f"doc.{source}", F.col("row")), "sizes")
+    # A document's spans are cut from its words at once, so a long text is split into words one time.
+    spans = _spans(rows, _goals(rows, **goal), block_words).groupBy("row").agg(F.collect_list(F.struct("position", "low", "high")).alias("spans"))
+
+    def cut(found: Column) -> Column:
+        return F.transform("spans", lambda s: F.struct(
+            s["position"].alias("position"), s["low"].alias("low"),
+            F.array_join(F.slice(found, (s["low"] + 1).cast("int"), (s["high"] - s["low"]).cast("int")), " ").alias("text"),
+        ))
+
+    kept = [c for c in docs.columns if c not in (position, "first_word")]
+    blocks = numbered.join(spans, "row").select("doc", F.explode(let(words(F.col(f"doc.{text}")), cut)).alias("block"))
+    return blocks.select(
+        *[F.col("block.text").alias(c) if c == text else F.col("doc")[c].alias(c) for c in kept],
+        F.col("block.position").alias(position), F.col("block.low").alias("first_word"),
+    )
+
+
 COUNTS_SQL = f"""
 WITH sized AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size,

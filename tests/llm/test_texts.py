@@ -264,6 +264,42 @@ def test_schedule_keeps_shares(spark):
     assert sum(s[5] - s[4] for s in slots if s[1] == "0b") == 10_000
 
 
+def test_positions_of_many_equal_sources(spark):
+    goals = spark.createDataFrame([(f"0{c}", 1000, 1000.0) for c in "abcdefg"], "key string, source_size long, target double")
+    slots = mixing.schedule(goals, 10).collect()
+    assert len(slots) == len({r["position"] for r in slots}) == 700
+
+
+def test_mix_blocks(spark):
+    rnd = random.Random(5)
+    rows = [(i, " ".join(f"{i}_{n}" for n in range(rnd.randint(0, 60))), "a" if i % 3 else "b", "p") for i in range(300)]
+    rows += [(None, " ".join(f"n{i}_{n}" for n in range(9)), "b", "p") for i in range(50)] + [(900, None, "a", "p"), (901, " ".join(f"901_{n}" for n in range(5000)), None, "p")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, position string")
+    blocks = mixing.mix_blocks(df, block_words=16).orderBy("position").collect()
+    # Together the blocks hold of each document what the counts say; each block holds words of one source only.
+    taken = defaultdict(int)
+    for r in blocks:
+        own = r["text"].split(" ")
+        assert [w.split("_")[1] for w in own] == [str(r["first_word"] + n) for n in range(len(own))]
+        taken[own[0].split("_")[0]] += len(own)
+    counted = {str(r["doc_id"]): r["taken"] for r in mixing.mix_counts(df, block_words=16).collect() if r["doc_id"] is not None and r["taken"]}
+    assert {d: n for d, n in taken.items() if d[0] != "n"} == counted
+    words_at, source_at = defaultdict(int), defaultdict(set)
+    for r in blocks:
+        words_at[r["position"]] += len(r["text"].split(" "))
+        source_at[r["position"]].add(r["source"])
+    assert max(words_at.values()) == 16 and all(len(s) == 1 for s in source_at.values())
+    # Every stretch of the real output holds each source near its share.
+    order = [source_at[p].pop() for p in sorted(source_at)]
+    for name in ("a", "b", None):
+        share = order.count(name) / len(order)
+        assert all(abs(order[i : i + 100].count(name) - 100 * share) < 6 for i in range(0, len(order) - 100, 50))
+    # Other file splits and row orders give the same blocks.
+    again = mixing.mix_blocks(df.repartition(7, "text"), block_words=16).collect()
+    assert sorted(map(str, again)) == sorted(map(str, blocks))
+    assert mixing.mix_blocks(df.limit(0)).count() == 0
+
+
 @pytest.mark.parametrize("name", [n for n, (_, sql) in PLANS.items() if sql])
 def test_sql(spark, name):
     ok, note = compare(spark, connect(SF_DIR), *PLANS[name], SF_DIR)
