@@ -151,12 +151,10 @@ def windows(
     def format_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = bpe.text_encoder(ranks_path, pattern, remembered)
         for batch in batches:
-            pieces, leads, tokens = [], [], []
-            for who, said in zip(batch.column("role").to_pylist(), batch.column("text").to_pylist()):
-                piece = format_turn(who, said)
-                pieces.append(piece)
-                leads.append(len(head_of(who)))
-                tokens.append(len(encoder.encode(piece)))
+            roles = batch.column("role").to_pylist()
+            pieces = list(map(format_turn, roles, batch.column("text").to_pylist()))
+            leads = [len(head_of(who)) for who in roles]
+            tokens = list(map(len, encoder.encode_many(pieces)))
             yield pa.RecordBatch.from_arrays(
                 [*[batch.column(c) for c in ("row", "conv_id", "turn", "role", "hash")],
                  pa.array(pieces, pa.string()), pa.array(leads, pa.int32()), pa.array(tokens, pa.int64())],
