@@ -1,5 +1,8 @@
 """Ranks, running totals and quantiles against pandas, with one group holding most rows."""
 
+import random
+import time
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -97,3 +100,33 @@ def test_keyed_permutation(spark, size):
         for k in keys:
             assert (rows[k] == np.arange(size)).sum() < 10
             assert abs(np.corrcoef(np.arange(size), rows[k])[0, 1]) < 0.12
+
+
+def test_keyed_permutation_is_the_hash_form_and_faster(spark):
+    """The numbers of the plain expression over xxhash64, in less than half its time."""
+
+    def plain(number, size, key):
+        draw = random.Random(f"{key}/{size}")
+        rounds = [(i, draw.randrange(max(size, 1))) for i in range(6 * max(size, 2).bit_length())]
+        keys = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(k).cast("long").alias("k")) for i, k in rounds])
+
+        def swapped(x, own):
+            partner = F.pmod(own["k"] - x, F.lit(size).cast("long"))
+            chosen = F.xxhash64(F.lit(key), own["i"], F.greatest(x, partner)).bitwiseAND(F.lit(1).cast("long"))
+            return F.when(chosen == 1, partner).otherwise(x)
+
+        return F.aggregate(keys, number.cast("long"), swapped)
+
+    odd = spark.createDataFrame([(None,), (-5,), (0,), (998,), (999,), (1_000_000,)], "id long")
+    for key, size in (("42/0", 999), ("7/3", 1), ("a longer key than a word, of more than thirty-two bytes: é", 250)):
+        for df in (odd, spark.range(size)):
+            got = df.select(plain(F.col("id"), size, key).alias("a"), ordering.keyed_permutation(F.col("id"), size, key).alias("b"))
+            assert all(r["a"] == r["b"] for r in got.collect())
+
+    def seconds(form, rows):
+        started = time.time()
+        spark.range(rows).select(F.sum(form(F.col("id"), rows, "k"))).collect()
+        return time.time() - started
+
+    seconds(ordering.keyed_permutation, 1000), seconds(plain, 1000)
+    assert seconds(ordering.keyed_permutation, 1_000_000) < seconds(plain, 1_000_000) / 2
