@@ -1,21 +1,28 @@
 """TF-IDF weights and cosine recommendations as joins over a long term table.
 
-The catalogue is shuffled once, by id, as text. Term counts, the norm and the
-regrouping per document all reuse that partitioning. A query is a join on terms
-between the weights of a few liked rows and the weights of all rows.
+The catalogue is shuffled once, by id, as text, and the terms of a document are
+counted where its text is. Only terms of the vocabulary are placed by id again, for
+the norm. A query is a join on terms between the weights of a few liked rows and
+the weights of all rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from brightloom.functions import text
 from brightloom.functions.words import ENGLISH_STOP_WORDS
 from brightloom.operators.catalogue import matches_filters
+from brightloom.session import written
 
+# Words whose terms are counted together.
+WORDS_AT_ONCE = 500_000
 # Words an explanation never names.
 IGNORED_WORDS = (
     "the", "and", "with", "from", "that", "this", "into", "movie",
@@ -27,31 +34,69 @@ UNKNOWN = "Unknown"
 
 
 def place_by_id(docs: DataFrame, partitions: int | None = None) -> DataFrame:
-    """(id, tags) placed by id: the one shuffle of the texts."""
+    """(id, tags) placed by id: the one shuffle of the texts.
+
+    The number of parts is the session's where none is given, and is kept: a part
+    of texts is many times its size once its terms are counted.
+    """
     rows = docs.select("id", text.blank_if_null(F.col("tags")).alias("tags"))
-    return rows.repartition(partitions, "id") if partitions else rows.repartition("id")
+    return rows.repartition(partitions or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "id")
+
+
+def _terms_of(words: pa.ListArray) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+    """(row, term, how often) of the words and pairs of neighbours of every row, each term of a row once."""
+    flat = words.flatten().dictionary_encode()
+    code, names = flat.indices.to_numpy(zero_copy_only=False).astype(np.int64), flat.dictionary
+    row = np.repeat(np.arange(len(words)), pc.list_value_length(words).to_numpy(zero_copy_only=False))
+
+    def counted(row: np.ndarray, code: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        keys, often = np.unique(row * size + code, return_counts=True)
+        return keys // size, keys % size, often
+
+    one_row, one, one_often = counted(row, code, max(len(names), 1))
+    beside = np.flatnonzero(row[1:] == row[:-1])
+    pairs, pair = np.unique(code[beside] * max(len(names), 1) + code[beside + 1], return_inverse=True)
+    two_row, two, two_often = counted(row[beside], pair, max(len(pairs), 1))
+    first, second = (names.take(pa.array(at)) for at in np.divmod(pairs, max(len(names), 1)))
+    both = pc.binary_join_element_wise(first, second, " ")
+    terms = pa.concat_arrays([names.take(pa.array(one)), both.take(pa.array(two))])
+    return np.concatenate([one_row, two_row]), terms, np.concatenate([one_often, two_often])
+
+
+def _counted_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, term, tf) of batches of (id, words), some documents at a time."""
+    for batch in batches:
+        ids, words = batch.columns
+        ends = np.cumsum(pc.list_value_length(words).to_numpy(zero_copy_only=False))
+        start = 0
+        while start < len(ends):
+            done = ends[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(ends, done + WORDS_AT_ONCE, "right")))
+            row, terms, often = _terms_of(words.slice(start, stop - start))
+            columns = [ids.slice(start, stop - start).take(pa.array(row)), terms, pa.array(often, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "term", "tf"])
+            start = stop
 
 
 def term_counts(placed: DataFrame, stop_words: Sequence[str] = ENGLISH_STOP_WORDS) -> DataFrame:
     """(id, term, tf) of the words and word pairs in `tags`; pairs skip over stop words.
 
-    Words have two letters or more. With documents placed by id, counting the
-    terms of a document needs no further shuffle.
+    Words have two letters or more. A document is counted by itself, so its terms
+    are neither grouped nor kept; only where ids repeat are the counts of an id
+    added up.
     """
     found = F.regexp_extract_all(F.lower(F.col("tags")), F.lit(r"(?U)\b\w\w+\b"), F.lit(0))
     words = F.filter(found, lambda w: ~w.isin(list(stop_words))) if stop_words else found
-    one = F.col("_words")
-    pairs = F.zip_with(
-        F.slice(one, F.lit(1), F.greatest(F.size(one) - 1, F.lit(0))),
-        F.slice(one, F.lit(2), F.greatest(F.size(one) - 1, F.lit(0))),
-        lambda a, b: F.concat_ws(" ", a, b),
-    )
-    return (
-        placed.select("id", words.alias("_words"))
-        .select("id", F.explode(F.concat(one, pairs)).alias("term"))
-        .groupBy("id", "term")
-        .agg(F.count(F.lit(1)).alias("tf"))
-    )
+    schema = f"id {placed.schema['id'].dataType.simpleString()}, term string, tf long"
+
+    def counted(rows: DataFrame) -> DataFrame:
+        return rows.select("id", words.alias("_words")).mapInArrow(_counted_rows, schema)
+
+    # Looking at the text keeps both columns here, so the ids are counted on the exchange of the texts.
+    rows_of_id = placed.groupBy("id").agg(F.count_if(F.length("tags") >= 0).alias("rows"))
+    repeats = F.coalesce(rows_of_id.agg(F.max("rows") > 1).scalar(), F.lit(False))
+    added = counted(placed.filter(repeats)).groupBy("id", "term").agg(F.sum("tf").alias("tf"))
+    return counted(placed.filter(~repeats)).unionByName(added)
 
 
 def vocabulary(counts: DataFrame, placed: DataFrame, max_features: int = 10_000, min_df: int = 1) -> DataFrame:
@@ -118,11 +163,12 @@ def similarities(queries: DataFrame, weights: DataFrame) -> DataFrame:
     """(source_id, movie_id, similarity) for every row that shares a term with a source.
 
     Similarity is the dot product of unit vectors. Only the terms of the sources
-    are joined; adaptive execution picks a broadcast of the few query terms from
-    their measured size, and splits hot terms otherwise.
+    are joined. They are stored first: a table on disk has a known size, so Spark
+    broadcasts it where it is small, leaves the weights in place then, and splits
+    hot terms otherwise.
     """
     asked = queries.select(F.col("source_id").alias("id")).distinct().join(weights, "id")
-    asked = asked.select(F.col("id").alias("source_id"), "term", F.col("weight").alias("_query_weight"))
+    asked = written(asked.select(F.col("id").alias("source_id"), "term", F.col("weight").alias("_query_weight")), "asked")
     return (
         asked.join(weights, "term")
         .filter(F.col("id") != F.col("source_id"))
@@ -205,17 +251,20 @@ def recommend(
 
 
 def _explained(ranked: DataFrame, catalogue: DataFrame) -> DataFrame:
-    """Add the details of each listed row and the terms it shares with the source."""
+    """Add the details of each listed row and the terms it shares with the source.
+
+    The list is stored before it is joined; its size decides whether the catalogue is shuffled.
+    """
     words = F.array_distinct(text.tokens(F.col("tags")))
     source = catalogue.select(F.col("movie_id").alias("source_id"), words.alias("_source_words"))
     details = catalogue.select(
         "movie_id", "title", "genres", "release_year", "rating", words.alias("_words")
     )
     shared = shared_terms(F.col("_source_words"), F.col("_words"))
+    sourced = written(written(ranked, "ranked").join(source, "source_id"), "sourced")
     year, rating = F.col("release_year").cast("int"), F.col("rating")
     return (
-        ranked.join(source, "source_id")
-        .join(details, "movie_id")
+        sourced.join(details, "movie_id")
         .withColumn("shared", shared)
         .select(
             "source_id", "rank", "movie_id", "title", "genres", year.alias("release_year"), "rating", "similarity",

@@ -120,3 +120,35 @@ def test_stop_words_are_those_of_spark(spark):
 
     assert list(ENGLISH_STOP_WORDS) == StopWordsRemover.loadDefaultStopWords("english")
     assert text.header_key(" Vote-Average ") == "vote_average"
+
+
+def test_terms_are_counted_where_the_text_is(spark):
+    """Repeated and null ids are one document each; without them no row of a term is grouped by document."""
+    draw = [[1, "ab cd the ab cd"], [2, None], [1, "ab of cd x"], [None, "été ab"], [None, "ab"], [3, ""], [4, "the of"]]
+    docs = spark.createDataFrame(draw, "id long, tags string")
+    placed = similarity.place_by_id(docs, 3)
+    got = {(r["id"], r["term"]): r["tf"] for r in similarity.term_counts(placed, STOP).collect()}
+    assert got == {(1, "ab"): 3, (1, "cd"): 3, (1, "ab cd"): 3, (1, "cd ab"): 1, (None, "été"): 1, (None, "ab"): 2, (None, "été ab"): 1}
+    assert similarity.term_counts(placed.limit(0), STOP).count() == 0
+    many = spark.range(3000).selectExpr("id", "concat_ws(' ', transform(sequence(1, 40), i -> concat('w', id * i % 977))) AS tags")
+    counts = similarity.term_counts(similarity.place_by_id(many, 3), STOP)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "700")
+    try:
+        assert {(r[0], r[1], r[2]) for r in counts.collect()} == {
+            (i, t, c) for i in range(3000)
+            for words in [[f"w{i * k % 977}" for k in range(1, 41)]]
+            for t, c in Counter(words + [f"{a} {b}" for a, b in zip(words, words[1:])]).items()
+        }
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert "MapInArrow" in counts._jdf.queryExecution().toString()
+
+
+def test_small_lists_leave_the_catalogue_in_place(spark, catalogue):
+    """Neither the weights nor the texts are shuffled for the terms of a few sources or a short list."""
+    weights = similarity.tfidf(catalogue.selectExpr("movie_id AS id", "tags"), STOP).localCheckpoint()
+    queries = similarity.resolve_titles(catalogue, catalogue.filter("movie_id = 1"))
+    found = similarity.recommend(catalogue, weights, queries, 2)
+    assert found.count() == 2
+    plan = similarity.similarities(queries, weights)._jdf.queryExecution().sparkPlan().toString() + found._jdf.queryExecution().sparkPlan().toString()
+    assert "SortMergeJoin" not in plan
