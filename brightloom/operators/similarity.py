@@ -21,8 +21,9 @@ from brightloom.functions.words import ENGLISH_STOP_WORDS
 from brightloom.operators.catalogue import matches_filters
 from brightloom.session import written
 
-# Words whose terms are counted together.
-WORDS_AT_ONCE = 500_000
+# Words whose terms are counted together, and words of a piece of a document: rows go to Python 10,000 at a time.
+WORDS_AT_ONCE = 200_000
+PIECE_WORDS = 64
 # Words an explanation never names.
 IGNORED_WORDS = (
     "the", "and", "with", "from", "that", "this", "into", "movie",
@@ -63,10 +64,26 @@ def _terms_of(words: pa.ListArray) -> tuple[np.ndarray, pa.Array, np.ndarray]:
     return np.concatenate([one_row, two_row]), terms, np.concatenate([one_often, two_often])
 
 
-def _counted_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(id, term, tf) of batches of (id, words), some documents at a time."""
+def _whole_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, pa.ListArray]]:
+    """(ids, words) of the documents whose last piece has come; pieces of a document follow each other."""
+    held: list[pa.RecordBatch] = []
     for batch in batches:
-        ids, words = batch.columns
+        held.append(batch)
+        if not pc.any(batch.column("last")).as_py():
+            continue
+        ids, pieces, last = pa.Table.from_batches(held).combine_chunks().columns
+        pieces = pieces.combine_chunks()
+        ends = np.flatnonzero(last.to_numpy()) + 1
+        starts = np.cumsum(np.concatenate([[0], pc.list_value_length(pieces).to_numpy(zero_copy_only=False)]))
+        offsets = pa.array(starts[np.concatenate([[0], ends])], pa.int32())
+        yield ids.combine_chunks().take(pa.array(ends - 1)), pa.ListArray.from_arrays(offsets, pieces.flatten())
+        rest = batch.slice(batch.num_rows - (len(last) - ends[-1]))
+        held = [rest] if rest.num_rows else []
+
+
+def _counted_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, term, tf) of batches of (id, words, last), the pieces of documents, some documents at a time."""
+    for ids, words in _whole_documents(batches):
         ends = np.cumsum(pc.list_value_length(words).to_numpy(zero_copy_only=False))
         start = 0
         while start < len(ends):
@@ -83,14 +100,20 @@ def term_counts(placed: DataFrame, stop_words: Sequence[str] = ENGLISH_STOP_WORD
 
     Words have two letters or more. A document is counted by itself, so its terms
     are neither grouped nor kept; only where ids repeat are the counts of an id
-    added up.
+    added up. Words go to Python in pieces, so that a batch of rows is as small where
+    documents are long.
     """
     found = F.regexp_extract_all(F.lower(F.col("tags")), F.lit(r"(?U)\b\w\w+\b"), F.lit(0))
     words = F.filter(found, lambda w: ~w.isin(list(stop_words))) if stop_words else found
     schema = f"id {placed.schema['id'].dataType.simpleString()}, term string, tf long"
 
+    count = F.greatest(F.lit(1), F.ceil(F.size("_words") / PIECE_WORDS)).cast("int")
+    pieces = F.transform(F.sequence(F.lit(1), F.col("_pieces")), lambda i: F.slice("_words", (i - 1) * PIECE_WORDS + 1, F.lit(PIECE_WORDS)))
+
     def counted(rows: DataFrame) -> DataFrame:
-        return rows.select("id", words.alias("_words")).mapInArrow(_counted_rows, schema)
+        whole = rows.select("id", words.alias("_words")).withColumn("_pieces", count)
+        cut = whole.select("id", "_pieces", F.posexplode(pieces).alias("_at", "words"))
+        return cut.select("id", "words", (F.col("_at") + 1 == F.col("_pieces")).alias("last")).mapInArrow(_counted_rows, schema)
 
     # Looking at the text keeps both columns here, so the ids are counted on the exchange of the texts.
     rows_of_id = placed.groupBy("id").agg(F.count_if(F.length("tags") >= 0).alias("rows"))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -82,11 +81,11 @@ def _liked(cleaned: DataFrame) -> DataFrame:
 
 def _recommend(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
     # Cleaning sorts and joins whole texts; it is done once and feeds the weights,
-    # the queries and the details. Persisted blocks spill to disk and are rebuilt
-    # from the tables when an executor is lost.
+    # the queries and the details. Both tables are stored: cached blocks fill the memory
+    # that the shuffles of all terms need, and are lost with their executor.
     cleaned = clean_documents(spark, sf_dir).drop(*[f"clean_{c}" for c in catalogue.TEXT_COLUMNS])
-    cleaned = cleaned.persist(StorageLevel.MEMORY_AND_DISK)
-    weights = similarity.tfidf(_docs(cleaned)).persist(StorageLevel.MEMORY_AND_DISK)
+    cleaned = written(cleaned, "cleaned")
+    weights = written(similarity.tfidf(_docs(cleaned)), "weights")
     queries = similarity.resolve_titles(cleaned, _liked(cleaned))
     return similarity.recommend(cleaned, weights, queries, **options)
 
