@@ -32,10 +32,14 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brightloom.llm.shared import partitions, stored
+from brightloom.llm.shared import partitions, rows_at_once, stored
 
 GRAM = 24
-_SLICE = 1 << 20
+_SLICE = 1 << 18
+# Texts, and chunks or what they send, that go to Python in a batch. A split of the chunk table has some hundred chunks.
+TEXTS_AT_ONCE, CHUNKS_AT_ONCE = 512, 16
+# Anchors, and segments with repeated anchors, that a bucket gets on average at most.
+BUCKET_KEYS, BUCKET_SEGMENTS = 2_000_000, 400_000
 _NO_ID = np.iinfo(np.int64).max
 
 
@@ -146,11 +150,12 @@ def earliest(strings: np.ndarray, docs: np.ndarray, batch: int) -> np.ndarray:
 def _strings(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, width: int) -> np.ndarray:
     """Byte strings of up to `width` bytes as one sortable array; a last byte tells their size."""
     grid = np.zeros((len(starts), width + 1), np.uint8)
-    if len(starts):
-        offset = np.arange(width)
-        index = np.minimum(starts[:, None] + offset, len(data) - 1)
-        grid[:, :width] = np.where(offset < sizes[:, None], data[index], 0)
-        grid[:, width] = sizes
+    offset = np.arange(width)
+    for at in range(0, len(starts), 1 << 14):
+        some = slice(at, at + (1 << 14))
+        index = np.minimum(starts[some, None] + offset, len(data) - 1)
+        grid[some, :width] = np.where(offset < sizes[some, None], data[index], 0)
+        grid[some, width] = sizes[some]
     # One byte more than zero at the end: S-strings drop trailing zeros, and a size is never zero.
     return grid.reshape(-1).view(f"S{width + 1}")
 
@@ -178,7 +183,7 @@ class _Chunk:
 
 
 def chunk_table(docs: DataFrame, chunk_bytes: int) -> DataFrame:
-    """(chunk, docs, ids, lengths, data): documents packed to about `chunk_bytes`, compressed."""
+    """(chunk, docs, ids, lengths, data, size): documents packed to about `chunk_bytes`, compressed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, texts, size = [], [], 0
@@ -188,10 +193,12 @@ def chunk_table(docs: DataFrame, chunk_bytes: int) -> DataFrame:
             lengths = np.array([len(t) for t in texts], "<i8")
             data = zstandard.compress(b"".join(texts), 6)
             return pa.RecordBatch.from_pydict(
-                {"docs": [numbers.tobytes()], "ids": [ids], "lengths": [lengths.tobytes()], "data": [data]}, schema=schema
+                {"docs": [numbers.tobytes()], "ids": [ids], "lengths": [lengths.tobytes()], "data": [data], "size": [size]}, schema=schema
             )
 
-        schema = pa.schema([("docs", pa.binary()), ("ids", pa.list_(pa.int64())), ("lengths", pa.binary()), ("data", pa.binary())])
+        schema = pa.schema(
+            [("docs", pa.binary()), ("ids", pa.list_(pa.int64())), ("lengths", pa.binary()), ("data", pa.binary()), ("size", pa.int64())]
+        )
         for batch in batches:
             for i, value in zip(batch.column("id").to_pylist(), batch.column("text")):
                 ids.append(i)
@@ -203,29 +210,35 @@ def chunk_table(docs: DataFrame, chunk_bytes: int) -> DataFrame:
         if ids:
             yield close()
 
-    packed = docs.mapInArrow(run, "docs binary, ids array<bigint>, lengths binary, data binary")
-    return stored(packed.withColumn("chunk", F.monotonically_increasing_id()), "chunks")
+    packed = docs.mapInArrow(run, "docs binary, ids array<bigint>, lengths binary, data binary, size long")
+    with rows_at_once(docs.sparkSession, TEXTS_AT_ONCE):
+        return stored(packed.withColumn("chunk", F.monotonically_increasing_id()), "chunks")
 
 
 def _repeated_anchors(chunks: DataFrame, window: int, buckets: int) -> DataFrame:
-    """(chunk, bucket, bits): which of the chunk's different anchors in a bucket other chunks have."""
+    """(chunk, bucket, bits, found): which of the chunk's different anchors in a bucket other chunks have.
+
+    `found` is the number of segments that the chunk will send for them, and for those that repeat inside it, at most.
+    """
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 chunk = _Chunk(pa.Table.from_batches([batch.slice(i, 1)]), window)
                 chunk.segments()
-                keys = np.unique(chunk.short)
+                keys, often = np.unique(chunk.short, return_counts=True)
                 bucket = (keys % np.uint64(buckets)).astype(np.int64)
                 order = np.argsort(bucket, kind="stable")
                 cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
+                again = np.bincount(bucket, np.where(often > 1, often, 0), buckets).astype(np.int64)
                 # Six bytes of a hash: an accidental match costs a comparison, no wrong result. In order, the bytes
                 # of one rank together, the high ones are the same for many keys.
                 short = keys[order].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
                 rows = [b for b in range(buckets) if cuts[b] < cuts[b + 1]]
                 yield pa.RecordBatch.from_pydict(
                     {"bucket": pa.array(rows, pa.int32()), "chunk": pa.array([chunk.id] * len(rows), pa.int64()),
-                     "keys": pa.array([_packed(short[cuts[b] : cuts[b + 1]].T) for b in rows], pa.binary())}
+                     "keys": pa.array([_packed(short[cuts[b] : cuts[b + 1]].T) for b in rows], pa.binary()),
+                     "again": pa.array(again[rows], pa.int64())}
                 )
 
     def answer(table: pa.Table) -> pa.Table:
@@ -235,20 +248,24 @@ def _repeated_anchors(chunks: DataFrame, window: int, buckets: int) -> DataFrame
             parts.append(np.pad(short, ((0, 0), (0, 2))).reshape(-1).view("<u8"))
         every = np.sort(np.concatenate(parts))
         repeated = np.unique(every[1:][every[1:] == every[:-1]])
-        if not len(repeated):
-            return table.select(["chunk", "bucket", "keys"]).slice(0, 0).rename_columns(["chunk", "bucket", "bits"])
-        bits = [np.packbits(repeated[np.minimum(np.searchsorted(repeated, p), len(repeated) - 1)] == p).tobytes() for p in parts]
-        return pa.table({"chunk": table.column("chunk"), "bucket": table.column("bucket"), "bits": pa.array(bits, pa.binary())})
+        flags = [
+            repeated[np.minimum(np.searchsorted(repeated, p), len(repeated) - 1)] == p if len(repeated) else np.zeros(len(p), bool)
+            for p in parts
+        ]
+        found = np.array([f.sum() for f in flags]) + table.column("again").to_numpy()
+        bits = pa.array([np.packbits(f).tobytes() for f in flags], pa.binary())
+        answers = pa.table({"chunk": table.column("chunk"), "bucket": table.column("bucket"), "bits": bits, "found": pa.array(found, pa.int64())})
+        return answers.filter(pc.greater(answers.column("found"), 0))
 
-    sent = chunks.mapInArrow(send, "bucket int, chunk long, keys binary")
-    return sent.groupBy("bucket").applyInArrow(answer, "chunk long, bucket int, bits binary")
+    sent = chunks.mapInArrow(send, "bucket int, chunk long, keys binary, again long")
+    return sent.groupBy("bucket").applyInArrow(answer, "chunk long, bucket int, bits binary, found long")
 
 
 _MATCHES = "bucket int, chunk long, anchor binary, doc binary, place binary, string binary"
 
 
-def _candidates(chunks: DataFrame, flags: DataFrame, window: int, buckets: int) -> DataFrame:
-    """Segments with repeated anchors by bucket; without anchors the (low, high) that a chunk settles itself."""
+def _candidates(chunks: DataFrame, flags: DataFrame, window: int, buckets: int, targets: int) -> DataFrame:
+    """Segments with repeated anchors by one of `targets` buckets; without anchors the (low, high) that a chunk settles itself."""
     width = 2 * window - GRAM
 
     def send(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -271,11 +288,12 @@ def _candidates(chunks: DataFrame, flags: DataFrame, window: int, buckets: int)
         string, doc = _strings(chunk.data, low, size, width), doc[chosen]
         first = earliest(string, doc, 1 << 20)
         late = first < doc
-        rows = [(chunk.id % buckets, b"", b"", np.concatenate([low[late], (low + size)[late]]).astype("<i8").tobytes(), b"")]
+        rows = [(chunk.id % targets, b"", b"", np.concatenate([low[late], (low + size)[late]]).astype("<i8").tobytes(), b"")]
         kept = np.flatnonzero(~late)
-        target = (chunk.short[chosen][kept] % np.uint64(buckets)).astype(np.int64)
-        for b in np.unique(target):
-            k = kept[target == b]
+        target = (chunk.short[chosen][kept] % np.uint64(targets)).astype(np.int64)
+        by_target = np.argsort(target, kind="stable")
+        for k in np.split(kept[by_target], np.flatnonzero(np.diff(target[by_target])) + 1) if len(kept) else []:
+            b = chunk.short[chosen[k[0]]] % np.uint64(targets)
             columns = (chunk.short[chosen][k].astype("<u8"), doc[k].astype("<i8"), low[k].astype("<i8"), string[k])
             rows.append((int(b), *map(_packed, columns)))
         columns = list(zip(*rows))
@@ -287,37 +305,52 @@ def _candidates(chunks: DataFrame, flags: DataFrame, window: int, buckets: int)
     return chunks.groupBy("chunk").cogroup(flags.groupBy("chunk")).applyInArrow(send, _MATCHES)
 
 
-def _matches(candidates: DataFrame, window: int, batch: int) -> DataFrame:
-    """(chunk, spans): from the families of every bucket, [low, high) pairs in their chunk."""
-    width = 2 * window - GRAM
+def _slices(anchor: np.ndarray, weight: np.ndarray, most: int) -> Iterator[np.ndarray]:
+    """Places of the rows by ascending anchor, whole anchors together, of about `most` in weight."""
+    order = np.argsort(anchor, kind="stable")
+    ordered, total = anchor[order], np.cumsum(weight[order])
+    at = 0
+    while at < len(order):
+        done = total[at - 1] if at else 0
+        last = min(len(order) - 1, int(np.searchsorted(total, done + most)))
+        to = int(np.searchsorted(ordered, ordered[last], "left"))
+        to = to if to > at else int(np.searchsorted(ordered, ordered[last], "right"))
+        yield order[at:to]
+        at = to
 
-    def scan(table: pa.Table) -> pa.Table:
-        sent = pa.array([len(a) > 0 for a in table.column("anchor").to_pylist()], pa.bool_())
-        settled = table.filter(pc.invert(sent)).select(["chunk", "place"]).rename_columns(["chunk", "spans"])
-        table = table.filter(sent)
-        if not table.num_rows:
-            return settled
-
-        def blobs(name: str) -> list[bytes]:
-            return [zstandard.decompress(b) for b in table.column(name).to_pylist()]
-
-        anchor, doc = (np.frombuffer(b"".join(blobs(name)), kind) for name, kind in (("anchor", "<u8"), ("doc", "<i8")))
-        places = blobs("place")
-        place = np.frombuffer(b"".join(places), "<i8")
-        strings = b"".join(blobs("string"))
-        string = np.frombuffer(strings, f"S{width + 1}")
-        grid = np.frombuffer(strings, np.uint8).reshape(-1, width + 1)
-        sizes = grid[:, width].astype(np.int64)
-        counts = [len(p) // 8 for p in places]
-        chunk = np.repeat(np.array(table.column("chunk").to_pylist(), np.int64), counts)
-        whole = earliest(string, doc, batch) < doc
-        spans = [(chunk[whole], place[whole], (place + sizes)[whole])]
+
+def bucket_matches(table: pa.Table, window: int, batch: int) -> pa.Table:
+    """(chunk, spans) of a bucket, [low, high) pairs in their chunk.
+
+    Equal strings have equal anchors, so some anchors at a time are matched and only
+    their windows are held.
+    """
+    width = 2 * window - GRAM
+    sent = pa.array([len(a) > 0 for a in table.column("anchor").to_pylist()], pa.bool_())
+    settled = table.filter(pc.invert(sent)).select(["chunk", "place"]).rename_columns(["chunk", "spans"])
+    table = table.filter(sent)
+    if not table.num_rows:
+        return settled
+
+    def joined(name: str) -> bytes:
+        return b"".join([zstandard.decompress(b.as_py()) for b in table.column(name)])
+
+    anchor, doc, place = (np.frombuffer(joined(name), kind) for name, kind in (("anchor", "<u8"), ("doc", "<i8"), ("place", "<i8")))
+    strings = joined("string")
+    string = np.frombuffer(strings, f"S{width + 1}")
+    grid = np.frombuffer(strings, np.uint8).reshape(-1, width + 1)
+    sizes = grid[:, width].astype(np.int64)
+    counts = [len(zstandard.decompress(a.as_py())) // 8 for a in table.column("anchor")]
+    chunk = np.repeat(table.column("chunk").to_numpy(), counts)
+    spans = []
+    for own in _slices(anchor, sizes - window + 1, max(batch, 1)):
+        whole = earliest(string[own], doc[own], batch) < doc[own]
+        spans.append((chunk[own[whole]], place[own[whole]], (place + sizes)[own[whole]]))
         # Anchors with different segments: their windows one by one, but for documents' segments that matched whole.
-        order = np.lexsort((string, anchor))
+        order = own[np.lexsort((string[own], anchor[own]))]
         fresh = anchor[order][1:] == anchor[order][:-1]
         differ = fresh & (string[order][1:] != string[order][:-1])
-        mixed = np.isin(anchor, np.unique(anchor[order][1:][differ])) & ~whole
-        rows = np.flatnonzero(mixed)
+        rows = own[np.isin(anchor[own], np.unique(anchor[order][1:][differ])) & ~whole]
         windows = sizes[rows] - window + 1
         row = np.repeat(rows, windows)
         offset = np.arange(windows.sum()) - np.repeat(np.cumsum(windows) - windows, windows)
@@ -332,11 +365,20 @@ def _matches(candidates: DataFrame, window: int, batch: int) -> DataFrame:
             hit = family.add(suffix.reshape(-1).view(f"S{window + 1}"), doc[r]) < doc[r]
             spans.append((chunk[r[hit]], place[r[hit]] + o[hit], place[r[hit]] + o[hit] + window))
             at += batch
-        chunk, low, high = (np.concatenate(c) for c in zip(*spans))
-        ids = np.unique(chunk)
-        pieces = [np.concatenate([low[chunk == c], high[chunk == c]]).astype("<i8").tobytes() for c in ids]
-        found = pa.table({"chunk": pa.array(ids, pa.int64()), "spans": pa.array(pieces, pa.binary())})
-        return pa.concat_tables([found, settled.cast(found.schema)])
+    chunk, low, high = (np.concatenate(c) for c in zip(*spans))
+    by_chunk = np.argsort(chunk, kind="stable")
+    cuts = np.flatnonzero(np.diff(chunk[by_chunk])) + 1
+    groups = np.split(by_chunk, cuts) if len(chunk) else []
+    pieces = [np.concatenate([low[g], high[g]]).astype("<i8").tobytes() for g in groups]
+    found = pa.table({"chunk": pa.array([chunk[g[0]] for g in groups], pa.int64()), "spans": pa.array(pieces, pa.binary())})
+    return pa.concat_tables([found, settled.cast(found.schema)])
+
+
+def _matches(candidates: DataFrame, window: int, batch: int) -> DataFrame:
+    """(chunk, spans): from the families of every bucket, [low, high) pairs in their chunk."""
+
+    def scan(table: pa.Table) -> pa.Table:
+        return bucket_matches(table, window, batch)
 
     return candidates.groupBy("bucket").applyInArrow(scan, "chunk long, spans binary")
 
@@ -355,11 +397,17 @@ def remove_repeats(
     """
     if not 2 * GRAM <= window <= 127:
         raise ValueError(f"window must be {2 * GRAM} to 127")
-    buckets = partitions(docs.sparkSession)
     chunks = chunk_table(docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text")), chunk_bytes)
-    flags = stored(_repeated_anchors(chunks, window, buckets), "flags")
-    candidates = _candidates(chunks.drop("ids"), flags, window, buckets)
-    matches = stored(_matches(candidates, window, batch), "matches")
+    # As many buckets as the session has partitions, more where a bucket would outgrow a task. Anchors are half a window's reach apart.
+    least = partitions(docs.sparkSession)
+    anchors = (chunks.agg(F.sum("size")).first()[0] or 0) * 2 // (window - GRAM + 2)
+    buckets = max(least, -(-anchors // BUCKET_KEYS))
+    with rows_at_once(docs.sparkSession, CHUNKS_AT_ONCE):
+        flags = stored(_repeated_anchors(chunks.drop("ids", "size"), window, buckets), "flags")
+    targets = max(least, -(-(flags.agg(F.sum("found")).first()[0] or 0) // BUCKET_SEGMENTS))
+    candidates = _candidates(chunks.drop("ids", "size"), flags.drop("found"), window, buckets, targets)
+    with rows_at_once(docs.sparkSession, CHUNKS_AT_ONCE):
+        matches = stored(_matches(candidates, window, batch), "matches")
 
     def apply(left: pa.Table, right: pa.Table) -> pa.Table:
         chunk = _Chunk(left, window)
