@@ -332,16 +332,16 @@ def bucket_matches(table: pa.Table, window: int, batch: int) -> pa.Table:
     if not table.num_rows:
         return settled
 
-    def joined(name: str) -> bytes:
-        return b"".join([zstandard.decompress(b.as_py()) for b in table.column(name)])
+    def blobs(name: str) -> list[bytes]:
+        return [zstandard.decompress(b.as_py()) for b in table.column(name)]
 
-    anchor, doc, place = (np.frombuffer(joined(name), kind) for name, kind in (("anchor", "<u8"), ("doc", "<i8"), ("place", "<i8")))
-    strings = joined("string")
+    anchors = blobs("anchor")
+    anchor, doc, place = (np.frombuffer(b"".join(b), kind) for b, kind in ((anchors, "<u8"), (blobs("doc"), "<i8"), (blobs("place"), "<i8")))
+    strings = b"".join(blobs("string"))
     string = np.frombuffer(strings, f"S{width + 1}")
     grid = np.frombuffer(strings, np.uint8).reshape(-1, width + 1)
     sizes = grid[:, width].astype(np.int64)
-    counts = [len(zstandard.decompress(a.as_py())) // 8 for a in table.column("anchor")]
-    chunk = np.repeat(table.column("chunk").to_numpy(), counts)
+    chunk = np.repeat(table.column("chunk").to_numpy(), [len(a) // 8 for a in anchors])
     spans = []
     for own in _slices(anchor, sizes - window + 1, max(batch, 1)):
         whole = earliest(string[own], doc[own], batch) < doc[own]
